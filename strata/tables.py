@@ -84,23 +84,27 @@ class Table:
 
     # ── writing ────────────────────────────────────────────────────────────
 
-    def _write(self, df: DataFrame, path: str, mode: str, touched_only: bool = False) -> int:
+    def _write(
+        self, df: DataFrame, path: str, mode: str, touched_only: bool = False, flat: bool = False
+    ) -> int:
         """Write and return the row count, taken during the write itself.
 
-        ``touched_only`` limits an overwrite to the partitions found in ``df``.
+        ``touched_only`` limits an overwrite to the partitions found in ``df``;
+        ``flat`` leaves out the partition folders, for data that is soon re-read.
 
         The rebalance hint brings the rows of a partition together, so files are
         few, and lets Spark split a partition that is far larger than the rest.
         """
         counted = Observation()
-        if self.partition_by:
-            df = df.hint("rebalance", *self.partition_by)
+        layout = [] if flat else self.partition_by
+        if layout:
+            df = df.hint("rebalance", *layout)
         (
             df.observe(counted, F.count(F.lit(1)).alias("rows"))
             .write.mode(mode)
             .option("compression", "snappy")
             .option("partitionOverwriteMode", "dynamic" if touched_only else "static")
-            .partitionBy(*self.partition_by)
+            .partitionBy(*layout)
             .parquet(path)
         )
         return counted.get["rows"]
@@ -162,24 +166,25 @@ class Table:
         """
         if not set(self.partition_by) <= set(key):
             raise ValueError("partition columns must belong to the upsert key")
-        self._apply_pending()
-
-        staged_path = f"{self.path}/{BATCH}"
-        rows = self._write(batch, staged_path, "overwrite")
-        staged = self.spark.read.schema(batch.schema).parquet(staged_path).select(batch.columns)
-        self._check_key(staged, key)
         descriptor = self._descriptor()
-        if rows == 0 and descriptor is not None:
-            return 0
         if descriptor is None:
-            self._write(staged, f"{self.path}/{SLOTS[0]}", "overwrite")
+            first = f"{self.path}/{SLOTS[0]}"
+            rows = self._write(batch, first, "overwrite")
+            self._check_key(self.spark.read.schema(batch.schema).parquet(first), key)
             self._publish(SLOTS[0], batch.schema)
-        else:
-            schema = evolved(StructType.fromJson(descriptor["schema"]), batch.schema)
+            return rows
+
+        self._apply_pending()
+        staged_path = f"{self.path}/{BATCH}"
+        rows = self._write(batch, staged_path, "overwrite", flat=True)
+        if rows:
+            staged = self.spark.read.schema(batch.schema).parquet(staged_path)
+            self._check_key(staged, key)
+            schema = evolved(StructType.fromJson(self._descriptor()["schema"]), batch.schema)
             touched = self.read().where(self._touched(staged))
             kept = touched.join(staged.select(*key), list(key), "left_anti")
             merged = conform(kept, schema).unionByName(conform(staged, schema))
-            self._write(merged, f"{self.path}/{PENDING}", "overwrite")
+            self._write(merged, f"{self.path}/{PENDING}", "overwrite", flat=True)
             files.write_text(
                 self.spark, f"{self.path}/{PENDING_DESCRIPTOR}", json.dumps({"schema": schema.jsonValue()})
             )
@@ -189,6 +194,9 @@ class Table:
 
     def _check_key(self, staged: DataFrame, key: Sequence[str]) -> None:
         bad = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key], F.col("n") > 1)
+        for name in self.partition_by:
+            # A partition folder cannot hold an empty text; it would come back as null.
+            bad = bad | (F.col(name).cast("string") == "")
         found = staged.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where(bad).first()
         if found:
             raise KeyProblem(f"null or repeated upsert key {list(key)}, for example {found.asDict()}")
@@ -217,7 +225,7 @@ class Table:
         if not text:
             return
         schema = StructType.fromJson(json.loads(text)["schema"])
-        merged = self.spark.read.schema(schema).parquet(f"{self.path}/{PENDING}").select(schema.names)
+        merged = self.spark.read.schema(schema).parquet(f"{self.path}/{PENDING}")
         data = self._descriptor()["data"]
         self._write(merged, f"{self.path}/{data}", "overwrite", touched_only=bool(self.partition_by))
         self._publish(data, schema)

@@ -8,6 +8,11 @@ def _round(expr: str, digits: int = 6) -> str:
     return f"cast(round(cast({expr} as decimal(30, 12)), {digits}) as double)"
 
 
+def _mean(expr: str, digits: int = 6) -> str:
+    """As ``_round``, with the nudge the queries give to compared values."""
+    return _round(f"{expr} + 1e-9", digits)
+
+
 _ISO = "'%Y-%m-%dT%H:%M:%S.%f+00:00'"
 _EVENT_TYPES = "['click', 'error', 'purchase', 'signup', 'view']"
 
@@ -197,36 +202,36 @@ from orders"""
 # ── marts ──────────────────────────────────────────────────────────────────
 
 ORACLES["daily_trending"] = f"""with {EVENTS}, {TRENDING}
-select * replace ({_round("avg_engagement_rate")} as avg_engagement_rate, {_round("avg_like_ratio")} as avg_like_ratio)
+select * replace ({_mean("avg_engagement_rate")} as avg_engagement_rate, {_mean("avg_like_ratio")} as avg_like_ratio)
 from trend"""
 ORACLES["channel_rank"] = f"""with {SALES}, {SALES_REFERENCE}, {CHANNEL}
-select * replace ({_round("avg_engagement_rate")} as avg_engagement_rate) from chan"""
+select * replace ({_mean("avg_engagement_rate")} as avg_engagement_rate) from chan"""
 ORACLES["category_share"] = f"""with {EVENTS}, {EVENT_REFERENCE}, {_category("cur", "ref")}
-select * replace ({_round("view_share_pct")} as view_share_pct) from cat"""
+select * replace ({_mean("view_share_pct")} as view_share_pct) from cat"""
 ORACLES["category_share_distinct"] = f"""with {SALES}, {SALES_REFERENCE}, {_category("st", "sref")}
-select * replace ({_round("view_share_pct")} as view_share_pct) from cat"""
+select * replace ({_mean("view_share_pct")} as view_share_pct) from cat"""
 
 # ── serving ────────────────────────────────────────────────────────────────
 
 ORACLES["top_channels"] = f"""with {SALES}, {SALES_REFERENCE}, {CHANNEL}
-select channel_title, region, total_views, {_round("avg_engagement_rate")} as avg_engagement_rate, rank_in_region
+select channel_title, region, total_views, {_mean("avg_engagement_rate")} as avg_engagement_rate, rank_in_region
 from chan where rank_in_region <= 10 order by region, rank_in_region limit 50"""
 ORACLES["top_categories"] = f"""with {EVENTS}, {EVENT_REFERENCE}, {_category("cur", "ref")}
-select category_name, region, total_views, {_round("view_share_pct")} as view_share_pct
+select category_name, region, total_views, {_mean("view_share_pct")} as view_share_pct
 from cat order by total_views desc, region, trending_date_parsed, category_id limit 20"""
 ORACLES["trending_summary"] = f"""with {EVENTS}, {TRENDING}
 select region, trending_date_parsed, total_videos, total_views,
-  {_round("avg_engagement_rate")} as avg_engagement_rate
+  {_mean("avg_engagement_rate")} as avg_engagement_rate
 from trend order by trending_date_parsed desc, region limit 20"""
 ORACLES["daily_counts"] = f"""with {LEGACY}
-select region, trending_date_parsed, count(video_id) as total_videos, {_round("avg(views)")} as avg_views_per_video
+select region, trending_date_parsed, count(video_id) as total_videos, {_mean("avg(views)")} as avg_views_per_video
 from old group by region, trending_date_parsed"""
 ORACLES["region_top10"] = f"""with {SALES}, {SALES_REFERENCE}, {CHANNEL}
-select channel_title, total_views, {_round("avg_engagement_rate")} as avg_engagement_rate
+select channel_title, total_views, {_mean("avg_engagement_rate")} as avg_engagement_rate
 from chan where region = 'america' order by total_views desc, channel_title limit 10"""
 ORACLES["kpi_totals"] = f"""with {EVENTS}, {TRENDING}
 select cast(sum(total_views) as bigint) as total_views, cast(sum(total_videos) as bigint) as total_videos,
-  {_round("avg(avg_engagement_rate)")} as avg_engagement_rate
+  {_mean("avg(avg_engagement_rate)")} as avg_engagement_rate
 from trend"""
 ORACLES["sum_by_channel"] = f"""with {SALES}
 select channel_title, cast(sum(views) as bigint) as total_views
@@ -238,10 +243,10 @@ ORACLES["sum_by_region"] = f"""with {SALES}
 select region, cast(sum(views) as bigint) as total_views from st group by region"""
 ORACLES["share_reaggregated"] = f"""with {EVENTS}, {EVENT_REFERENCE}, {_category("cur", "ref")}
 select category_name, region, cast(sum(total_views) as bigint) as total_views,
-  {_round("avg(view_share_pct)")} as avg_view_share
+  {_mean("avg(view_share_pct)")} as avg_view_share
 from cat where region in ('view', 'click', 'purchase') group by category_name, region"""
 ORACLES["bi_extract"] = f"""with {SALES}, {SALES_REFERENCE}, {CHANNEL}
-select channel_title, region, total_videos, total_views, {_round("avg_engagement_rate")} as avg_engagement_rate,
+select channel_title, region, total_videos, total_views, {_mean("avg_engagement_rate")} as avg_engagement_rate,
   rank_in_region
 from chan"""
 ORACLES["mart_counts"] = f"""with {EVENTS}
@@ -258,7 +263,7 @@ select 'not_there', 'n/a'"""
 # ── quality ────────────────────────────────────────────────────────────────
 
 ORACLES["null_percentage"] = f"""
-select total_rows, null_rows, {_round("null_rows * 100.0 / total_rows")} as null_percentage
+select total_rows, null_rows, {_mean("null_rows * 100.0 / total_rows")} as null_percentage
 from (
   select count(*) as total_rows, count(*) filter (where quality is null) as null_rows
   from documents left join labels using (doc_id)
@@ -272,7 +277,7 @@ def _check(name: str, column: str | None, value: str, threshold: str, passed: st
     shown = f"'{column}'" if column else "cast(null as varchar)"
     return f"""
 select 'curated_statistics' as table_name, '{name}' as check_name, {shown} as column_name,
-  {_round("v")} as value, cast({threshold} as double) as threshold,
+  {_mean("v")} as value, cast({threshold} as double) as threshold,
   case when {passed} then 'pass' else 'error' end as status, {passed} as passed
 from (select cast({value} as double) as v from cur)"""
 
@@ -304,7 +309,7 @@ ORACLES["quality_report"] = f"with {EVENTS}" + " union all ".join(
 select 'curated_statistics', 'not_null', 'no_such_column', cast(null as double), cast(null as double), 'error', false""",
         _range(10, 90),
         f"""
-select 'curated_statistics', 'freshness', '_ingestion_timestamp', {_round("age")}, cast(48 as double),
+select 'curated_statistics', 'freshness', '_ingestion_timestamp', {_mean("age")}, cast(48 as double),
   case when age > 48 then 'error' when age > 24 then 'warn' else 'pass' end, age <= 48
 from (select (epoch_us(timestamp '2024-02-01 06:30:00')
     - max(epoch_us(strptime(replace(_ingestion_timestamp, '+00:00', ''), '%Y-%m-%dT%H:%M:%S.%f'))))
@@ -331,7 +336,7 @@ n as (select count(*) as n from old)
 select 'row_count' as check_name, cast(null as varchar) as column_name, cast(n as double) as value, n >= 10 as passed
 from n
 union all
-select 'null_percentage', c, {_round("v", 2)}, v <= 5 from (
+select 'null_percentage', c, {_mean("v", 2)}, v <= 5 from (
   select 'video_id' as c, {_PERCENT.format(c="video_id")} as v from old
   union all select 'title', {_PERCENT.format(c="title")} from old
   union all select 'channel_title', {_PERCENT.format(c="channel_title")} from old
@@ -355,8 +360,8 @@ ORACLES["legacy_clean"] = f"with {LEGACY} select * from old"
 ORACLES["legacy_trending"] = f"""with {LEGACY}
 select region, trending_date_parsed, count(video_id) as total_videos, cast(sum(views) as bigint) as total_views,
   cast(sum(likes) as bigint) as total_likes, cast(sum(dislikes) as bigint) as total_dislikes,
-  cast(sum(comment_count) as bigint) as total_comments, {_round("avg(views)", 4)} as avg_views_per_video,
-  {_round("avg(like_ratio)", 4)} as avg_like_ratio, {_round("avg(engagement_rate)", 4)} as avg_engagement_rate,
+  cast(sum(comment_count) as bigint) as total_comments, {_mean("avg(views)", 4)} as avg_views_per_video,
+  {_mean("avg(like_ratio)", 4)} as avg_like_ratio, {_mean("avg(engagement_rate)", 4)} as avg_engagement_rate,
   max(views) as max_views, count(distinct channel_title) as unique_channels,
   count(distinct category_id) as unique_categories
 from old group by region, trending_date_parsed"""
@@ -364,7 +369,7 @@ ORACLES["legacy_channel"] = f"""with {LEGACY},
 roll as (
   select channel_title, region, count(distinct video_id) as total_videos, cast(sum(views) as bigint) as total_views,
     cast(sum(likes) as bigint) as total_likes, cast(sum(comment_count) as bigint) as total_comments,
-    {_round("avg(views)", 4)} as avg_views_per_video, {_round("avg(engagement_rate)", 4)} as avg_engagement_rate,
+    {_mean("avg(views)", 4)} as avg_views_per_video, {_mean("avg(engagement_rate)", 4)} as avg_engagement_rate,
     max(views) as peak_views, count(trending_date_parsed) as times_trending,
     min(trending_date_parsed) as first_trending, max(trending_date_parsed) as last_trending,
     list_sort(list(distinct category_name)) as categories
@@ -378,7 +383,7 @@ roll as (
   select category_name, category_id, region, trending_date_parsed, count(video_id) as video_count,
     cast(sum(views) as bigint) as total_views, cast(sum(likes) as bigint) as total_likes,
     cast(sum(comment_count) as bigint) as total_comments,
-    {_round("avg(engagement_rate)", 4)} as avg_engagement_rate, count(distinct channel_title) as unique_channels
+    {_mean("avg(engagement_rate)", 4)} as avg_engagement_rate, count(distinct channel_title) as unique_channels
   from named group by category_name, category_id, region, trending_date_parsed
 ),
 shares as (

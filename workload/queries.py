@@ -44,8 +44,11 @@ def query(fn: Query) -> Query:
 
 
 def _rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
-    """Means depend on summation order in their last bits; compare rounded."""
-    return df.withColumns({n: F.round(n, digits) for n in names})
+    """Means depend on summation order in their last bits; compare rounded.
+
+    The nudge sends values that lie on a rounding tie the same way everywhere.
+    """
+    return df.withColumns({n: F.round(F.col(n) + 1e-9, digits) for n in names})
 
 
 def _curated(spark: SparkSession, d: str) -> DataFrame:
