@@ -14,7 +14,7 @@ from strata.operators import enrich, quality
 from strata.operators.clean import counted, curate_reference, curate_statistics
 from strata.operators.incremental import newer_than, watermark, with_ingest_date
 from strata.plans import serve
-from strata.schemas import CURATED_KEY, RAW_STATISTICS, REFERENCE_DOCUMENT, SNAPSHOT_DOCUMENT
+from strata.schemas import CORRUPT, CURATED_KEY, RAW_STATISTICS, REFERENCE_DOCUMENT, SNAPSHOT_DOCUMENT
 from strata.sources import landing
 from strata.streaming import ingest
 from strata.tables import Lake, Table
@@ -95,7 +95,7 @@ class Medallion:
     @staticmethod
     def _any_readable(*doc_sets: DataFrame) -> bool:
         return any(
-            not docs.where(F.col("_corrupt_record").isNull()).select("items", "_corrupt_record").isEmpty()
+            docs.where(F.col(CORRUPT).isNull()).select("_source_file", "items").first() is not None
             for docs in doc_sets
         )
 

@@ -153,6 +153,8 @@ class Table:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rsplit('.', 1)[0]}")
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         self.spark.catalog.createTable(name, path=self.data_path, source="parquet")
+        if self.partition_by:
+            self.spark.catalog.recoverPartitions(name)
 
     # ── upsert ─────────────────────────────────────────────────────────────
 

@@ -16,6 +16,9 @@ def con():
 @pytest.mark.parametrize("name", sorted(entry_module.queries()))
 def test_query_matches_sql(spark, con, name):
     df = entry_module.queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("Python", "CartesianProduct", "NestedLoop"):
+        assert unwanted not in plan
     assert compare.differences(df, con, entry_module.oracle_sql()[name]) == []
 
 
