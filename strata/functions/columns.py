@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 API_SOURCE = "youtube_api_v3"
 HISTORY_SOURCE = "kaggle_historical"
+DAY_MONTH = r"^\d{2}\.\d{2}\.\d{2}$"
 
 # The cell texts that the pandas CSV reader documents as missing.
 NA_TOKENS = [
@@ -51,17 +52,19 @@ def utc_iso(ts: Column) -> Column:
 def iso_date(text: Column) -> Column:
     """Calendar day as written in an ISO-8601 text, null if it is not one."""
     valid = text.rlike(r"^\d{4}-\d{2}-\d{2}(T.*)?$") & F.try_to_timestamp(text).isNotNull()
-    return F.when(valid, F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd"))
+    return F.when(valid, F.substring(text, 1, 10).try_cast("date"))
 
 
 def history_date(text: Column) -> Column:
     """``yy.dd.MM`` with two-digit years read as 1970-2069.
 
-    Spark reads ``yy`` as 2000-2099; going back 1200 months for 2070 and later
-    keeps day and month, since 19xx and 20xx share their leap years there.
+    Rearranged to ISO text and cast, which is far cheaper than a format-driven
+    parse and fixes the century, where Spark's ``yy`` means 2000-2099.
     """
-    day = F.try_to_date(text, "yy.dd.MM")
-    return F.when(F.year(day) >= 2070, F.add_months(day, -1200)).otherwise(day)
+    year = F.substring(text, 1, 2)
+    century = F.when(year >= "70", "19").otherwise("20")
+    iso = F.concat(century, year, F.lit("-"), F.substring(text, 7, 2), F.lit("-"), F.substring(text, 4, 2))
+    return F.when(text.rlike(DAY_MONTH), iso.try_cast("date"))
 
 
 def trending_date(source: Column, text: Column, strict: bool = False) -> Column:
@@ -79,9 +82,10 @@ def trending_date(source: Column, text: Column, strict: bool = False) -> Column:
 
 def legacy_date(text: Column) -> Column:
     """Format chosen by shape, as the older job did: ``yy.dd.MM`` or ISO."""
-    return F.when(text.rlike(r"^\d{2}\.\d{2}\.\d{2}$"), F.try_to_date(text, "yy.dd.MM")).otherwise(
-        F.try_to_date(text)
+    iso = F.concat(
+        F.lit("20"), F.substring(text, 1, 2), F.lit("-"), F.substring(text, 7, 2), F.lit("-"), F.substring(text, 4, 2)
     )
+    return F.when(text.rlike(DAY_MONTH), iso.try_cast("date")).otherwise(text.try_cast("date"))
 
 
 def tolerant_long(col: Column) -> Column:

@@ -52,17 +52,40 @@ def trending_analytics(stats: DataFrame, keyed: bool = False) -> DataFrame:
     )
 
 
+def channel_totals(stats: DataFrame) -> DataFrame:
+    """Totals per (channel, region); rows without a channel are left out."""
+    named = stats.where(F.col("channel_title").isNotNull())
+    return named.groupBy("channel_title", "region").agg(
+        F.count_distinct("video_id").alias("total_videos"),
+        F.sum("views").alias("total_views"),
+        F.avg("engagement_rate").alias("avg_engagement_rate"),
+    )
+
+
+def category_sets(named: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Sorted distinct category names per group, duplicates removed first."""
+    return (
+        named.select(*by, "category_name")
+        .distinct()
+        .groupBy(*by)
+        .agg(F.array_sort(F.collect_set("category_name")).alias("categories"))
+    )
+
+
 def channel_rollup(stats: DataFrame, lookup: DataFrame | None) -> DataFrame:
-    """Totals per (channel, region), not ranked yet."""
+    """Totals and category names per (channel, region), not ranked yet.
+
+    The names come from a scan of their own: in one aggregation with the
+    distinct count, the set would turn all of it into sorting, and names would
+    have to be joined to every row instead of once per (channel, category).
+    """
+    keys = ["channel_title", "region"]
+    found = stats.where(F.col("channel_title").isNotNull()).select(*keys, "category_id").distinct()
+    sets = category_sets(with_category(found, lookup), keys)
+    # A row without a region has no lookup entry, and no match here either.
+    none = F.array(F.lit(UNKNOWN))
     return (
-        with_category(stats.where(F.col("channel_title").isNotNull()), lookup)
-        .groupBy("channel_title", "region")
-        .agg(
-            F.count_distinct("video_id").alias("total_videos"),
-            F.sum("views").alias("total_views"),
-            F.avg("engagement_rate").alias("avg_engagement_rate"),
-            F.array_sort(F.collect_set("category_name")).alias("categories"),
-        )
+        channel_totals(stats).join(sets, keys, "left").withColumn("categories", F.coalesce("categories", none))
     )
 
 

@@ -54,8 +54,8 @@ def test_keyed_daily_totals_take_one_narrow_shuffle(stats):
     assert "title" not in schema and "description" not in schema
 
 
-def test_top_k_is_limited_before_the_shuffle(stats, lookup):
-    text = plan(top_within(enrich.channel_rollup(stats, lookup), ["region"], "total_views", "channel_title", "r", 10))
+def test_top_k_is_limited_before_the_shuffle(stats):
+    text = plan(top_within(enrich.channel_totals(stats), ["region"], "total_views", "channel_title", "r", 10))
     assert text.count("WindowGroupLimit") == 2
 
 

@@ -18,8 +18,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("bigint")
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the number in their JSON properties, read once per row."""
+    return table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
 
 
 def _channel() -> Column:
@@ -32,18 +33,18 @@ def events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw statistics: even events from the API, odd ones historical."""
     iso = C.utc_iso(F.col("ts"))
     from_api = F.col("event_id") % 2 == 0
-    return table(spark, sf_dir, "events").select(
+    return _events(spark, sf_dir).select(
         F.col("user_id").cast("string").alias("video_id"),
         F.concat(F.lit("video "), F.col("user_id").cast("string")).alias("title"),
         _channel().alias("channel_title"),
-        (_k() % 40).cast("string").alias("category_id"),
+        (F.col("k") % 40).cast("string").alias("category_id"),
         iso.alias("publish_time"),
         F.when(from_api, iso).otherwise(F.date_format("ts", "yy.dd.MM")).alias("trending_date_raw"),
         F.lit(None).cast("string").alias("tags"),
-        _k().alias("views"),
+        F.col("k").alias("views"),
         F.floor("value").cast("bigint").alias("likes"),
-        F.when(~from_api, _k() % 7).alias("dislikes"),
-        (_k() % 13).alias("comment_count"),
+        F.when(~from_api, F.col("k") % 7).alias("dislikes"),
+        (F.col("k") % 13).alias("comment_count"),
         F.col("props").alias("description"),
         F.concat(F.lit(" "), F.upper("event_type"), F.lit(" ")).alias("region"),
         F.when(from_api, C.API_SOURCE).otherwise(C.HISTORY_SOURCE).alias("source"),
@@ -56,20 +57,20 @@ def events_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flat historical shape of the older profile, every column a text."""
     even = F.col("event_id") % 2 == 0
     flag = F.when(even, "True").otherwise("False")
-    return table(spark, sf_dir, "events").select(
+    return _events(spark, sf_dir).select(
         F.col("user_id").cast("string").alias("video_id"),
         F.when(even, F.date_format("ts", "yyyy-MM-dd"))
         .otherwise(F.date_format("ts", "yy.dd.MM"))
         .alias("trending_date"),
         F.concat(F.lit("video "), F.col("user_id").cast("string")).alias("title"),
         _channel().alias("channel_title"),
-        (_k() % 40).cast("string").alias("category_id"),
+        (F.col("k") % 40).cast("string").alias("category_id"),
         C.utc_iso(F.col("ts")).alias("publish_time"),
         F.lit(None).cast("string").alias("tags"),
-        _k().cast("string").alias("views"),
+        F.col("k").cast("string").alias("views"),
         F.floor("value").cast("string").alias("likes"),
-        F.when(~even, (_k() % 7).cast("string")).alias("dislikes"),
-        (_k() % 13).cast("string").alias("comment_count"),
+        F.when(~even, (F.col("k") % 7).cast("string")).alias("dislikes"),
+        (F.col("k") % 13).cast("string").alias("comment_count"),
         F.lit(None).cast("string").alias("thumbnail_link"),
         flag.alias("comments_disabled"),
         flag.alias("ratings_disabled"),
@@ -84,7 +85,7 @@ def snapshot_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     event_tags = F.when(F.col("event_id") % 3 == 0, F.array(F.col("event_type"), F.lit("t"))).when(
         F.col("event_id") % 3 == 1, F.array().cast("array<string>")
     )
-    return table(spark, sf_dir, "events").select(
+    return _events(spark, sf_dir).select(
         "event_id",
         F.concat(F.lit(" "), F.upper("event_type"), F.lit(" ")).alias("region"),
         F.struct(
@@ -92,15 +93,15 @@ def snapshot_items(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(
                 F.concat(F.lit("video "), F.col("user_id").cast("string")).alias("title"),
                 _channel().alias("channelTitle"),
-                (_k() % 40).cast("string").alias("categoryId"),
+                (F.col("k") % 40).cast("string").alias("categoryId"),
                 C.utc_iso(F.col("ts")).alias("publishedAt"),
                 event_tags.alias("tags"),
                 F.col("props").alias("description"),
             ).alias("snippet"),
             F.struct(
-                _k().cast("string").alias("viewCount"),
+                F.col("k").cast("string").alias("viewCount"),
                 F.floor("value").cast("string").alias("likeCount"),
-                F.when(F.col("event_id") % 5 != 0, (_k() % 13).cast("string")).alias("commentCount"),
+                F.when(F.col("event_id") % 5 != 0, (F.col("k") % 13).cast("string")).alias("commentCount"),
             ).alias("statistics"),
         ).alias("item"),
     )
@@ -119,14 +120,18 @@ def part_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nation key to region name.  25 rows at every scale, so always broadcast."""
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    joined = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+    return F.broadcast(joined.select("n_nationkey", "r_name"))
+
+
 def customer_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw category rows for the geographic regions."""
-    regions = table(spark, sf_dir, "nation").join(
-        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-    )
     return (
         table(spark, sf_dir, "customer")
-        .join(regions, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(_regions(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             (F.col("c_custkey") % 40 + 1).cast("string").alias("id"),
             F.concat_ws(" ", "c_mktsegment", F.col("c_custkey") % 4).alias("title"),
@@ -139,25 +144,24 @@ def customer_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Curated-shaped rows: suppliers are channels, parts are videos."""
-    places = (
-        table(spark, sf_dir, "supplier")
-        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("s_suppkey", "s_name", F.lower("r_name").alias("region"))
-    )
+    """Curated-shaped rows: suppliers are channels, parts are videos.
+
+    Suppliers and parts are joined as plain scans, so Spark sees their size and
+    broadcasts them only where they are small.
+    """
     views = F.col("l_quantity").cast("bigint")
     likes = F.col("l_linenumber").cast("bigint")
     comments = F.round(F.col("l_discount") * 100).cast("bigint")
     return (
         table(spark, sf_dir, "lineitem")
-        .join(places, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(_regions(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey"))
         .select(
             F.col("l_partkey").cast("string").alias("video_id"),
             F.col("s_name").alias("channel_title"),
             F.col("p_size").cast("string").alias("category_id"),
-            "region",
+            F.lower("r_name").alias("region"),
             F.to_date("l_shipdate").alias("trending_date_parsed"),
             views.alias("views"),
             likes.alias("likes"),

@@ -22,7 +22,7 @@ from strata.schemas import (
     SNAPSHOT_DOCUMENT,
     SNAPSHOT_ITEM,
 )
-from strata.session import apply_settings, scratch_path
+from strata.session import apply_settings, scratch_path, stage
 from strata.sources import landing
 from strata.streaming import ingest
 from strata.tables import Table
@@ -56,11 +56,12 @@ def _curated(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _event_lookup(spark: SparkSession, d: str) -> DataFrame:
-    return curate_reference(base.part_reference(spark, d))
+    """A stored table, as in a run: the joins then know how small it is."""
+    return stage(curate_reference(base.part_reference(spark, d)), "lookup")
 
 
 def _sales_lookup(spark: SparkSession, d: str) -> DataFrame:
-    return curate_reference(base.customer_reference(spark, d))
+    return stage(curate_reference(base.customer_reference(spark, d)), "lookup")
 
 
 # ── curated ────────────────────────────────────────────────────────────────
@@ -158,8 +159,8 @@ def category_share_distinct(spark, d):
 
 @query
 def top_channels(spark, d):
-    rollup = enrich.channel_rollup(base.sales(spark, d), _sales_lookup(spark, d))
-    ranked = top_within(rollup, ["region"], "total_views", "channel_title", "rank_in_region", 10)
+    totals = enrich.channel_totals(base.sales(spark, d))
+    ranked = top_within(totals, ["region"], "total_views", "channel_title", "rank_in_region", 10)
     return _rounded(serve.query("top_channels", {"channel_analytics": ranked}), "avg_engagement_rate")
 
 
@@ -184,8 +185,8 @@ def daily_counts(spark, d):
 
 @query
 def region_top10(spark, d):
-    rollup = enrich.channel_rollup(base.sales(spark, d), _sales_lookup(spark, d))
-    top = serve.region_top(rollup, "AMERICA", ["channel_title", "total_views", "avg_engagement_rate"])
+    totals = enrich.channel_totals(base.sales(spark, d))
+    top = serve.region_top(totals, "AMERICA", ["channel_title", "total_views", "avg_engagement_rate"])
     return _rounded(top, "avg_engagement_rate")
 
 
@@ -197,8 +198,8 @@ def kpi_totals(spark, d):
 
 @query
 def sum_by_channel(spark, d):
-    rollup = enrich.channel_rollup(base.sales(spark, d), _sales_lookup(spark, d))
-    return serve.views_by(rollup, "channel_title", limit=10)
+    totals = enrich.channel_totals(base.sales(spark, d))
+    return serve.views_by(totals, "channel_title", limit=10)
 
 
 @query
@@ -225,12 +226,12 @@ def bi_extract(spark, d):
 
 @query
 def mart_counts(spark, d):
-    curated, lookup = _curated(spark, d), _event_lookup(spark, d)
+    curated, lookup = stage(_curated(spark, d), "curated"), _event_lookup(spark, d)
     return serve.row_counts(
         spark,
         {
             "trending_analytics": lambda: enrich.trending_analytics(curated, keyed=True),
-            "channel_analytics": lambda: enrich.channel_rollup(curated, lookup),
+            "channel_analytics": lambda: enrich.channel_totals(curated),
             "category_analytics": lambda: enrich.category_rollup(curated, lookup, keyed=True),
             "not_there": Table(spark, scratch_path(spark, "none")).read,
         },
@@ -310,7 +311,7 @@ def legacy_trending(spark, d):
 
 @query
 def legacy_channel(spark, d):
-    stats = legacy.with_category(_legacy_clean(spark, d), _legacy_lookup(spark, d))
+    stats = legacy.with_category(stage(_legacy_clean(spark, d), "silver"), _legacy_lookup(spark, d))
     mart = legacy.channel(stats, NOW).drop("_aggregated_at")
     return _rounded(mart, "avg_views_per_video", "avg_engagement_rate", digits=4)
 
