@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import enrich, quality
-from strata.operators.clean import counted, curate_reference, curate_statistics
+from strata.operators.clean import counted, curate_reference, curate_statistics, warnings
 from strata.operators.incremental import newer_than, watermark, with_ingest_date
 from strata.plans import serve
 from strata.schemas import CORRUPT, CURATED_KEY, RAW_STATISTICS, REFERENCE_DOCUMENT, SNAPSHOT_DOCUMENT
 from strata.sources import landing
+from strata.session import staging
 from strata.streaming import ingest
 from strata.tables import Lake, Table
 
@@ -39,6 +40,7 @@ class RunReport:
     rows: dict[str, int] = field(default_factory=dict)
     quarantined: list[dict] = field(default_factory=list)
     checks: list[dict] = field(default_factory=list)
+    warnings: dict[str, int] = field(default_factory=dict)
 
 
 class Medallion:
@@ -56,6 +58,7 @@ class Medallion:
         self.marts: dict[str, Table] = {
             name: lake.table("enriched", name, ["region"]) for name in serve.EXTRACTS
         }
+        self.extracts = {name: lake.table("extract", name) for name in serve.EXTRACTS}
 
     # ── raw ────────────────────────────────────────────────────────────────
 
@@ -114,7 +117,10 @@ class Medallion:
         mark = watermark(self.statistics.read()) if self.statistics.exists() else None
         read = Observation()
         fresh = counted(newer_than(self.read_raw(), mark, inclusive), read).drop("ingest_date")
-        written = self.statistics.upsert(curate_statistics(fresh, strict), CURATED_KEY)
+        noted = Observation()
+        curated = warnings(curate_statistics(fresh, strict), noted)
+        written = self.statistics.upsert(curated, CURATED_KEY)
+        report.warnings = {name: n for name, n in noted.get.items() if n}
         report.rows["curated_statistics"] = written
         report.rows["removed_statistics"] = read.get["rows"] - written
 
@@ -130,8 +136,15 @@ class Medallion:
             "channel_analytics": lambda: enrich.channel_analytics(stats, lookup),
             "category_analytics": lambda: enrich.category_analytics(stats, lookup, keyed=True),
         }
-        for name, build in builders.items():
-            report.rows[name] = self.marts[name].replace(build())
+        with staging(self.spark):
+            for name, build in builders.items():
+                report.rows[name] = self.marts[name].replace(build())
+
+    def refresh_extracts(self) -> dict[str, int]:
+        """Rewrite the BI copies of the marts, without the array column."""
+        return {
+            name: self.extracts[name].replace(serve.extract(name, table.read())) for name, table in self.marts.items()
+        }
 
     def check(self, tables: dict[str, Callable[[], DataFrame]]) -> list[dict]:
         checks = quality.run_all(

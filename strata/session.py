@@ -4,8 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from strata import files
+
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 # Settings the jobs rely on.  All are runtime SQL settings, so they can be
 # applied to a session somebody else has built.
@@ -59,9 +67,38 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
     Used where one intermediate result feeds several branches of a plan: the
     branches then read columns from files instead of recomputing the input,
-    and a lost executor costs a re-read, not a re-run.
+    and a lost executor costs a re-read, not a re-run.  Like checkpoints, the
+    files stay until somebody removes them; see ``staging``.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    paths = _staged.get()
+    if paths is not None:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Remove what ``stage`` writes inside the block when the block ends."""
+    paths: list[str] = []
+    token = _staged.set(paths)
+    try:
+        yield
+    finally:
+        _staged.reset(token)
+        for path in paths:
+            files.delete(spark, path)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
+    """A broadcast of ``df`` when it has at most ``max_rows`` rows, else ``df``.
+
+    For aggregates with few groups as a rule: at most ``max_rows + 1`` rows come
+    to the driver, and a larger one is joined by shuffle.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

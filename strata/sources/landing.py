@@ -25,6 +25,7 @@ from strata.schemas import (
     REFERENCE_DOCUMENT,
     SNAPSHOT_DOCUMENT,
 )
+from strata.session import broadcast_if_small
 
 Paths = str | Sequence[str]
 
@@ -142,8 +143,12 @@ def empty_reference_files(docs: DataFrame) -> DataFrame:
 
 
 def flat_reference(docs: DataFrame, run_ts: str) -> DataFrame:
-    """Older reference shape: every item field as a dotted column, plus lineage."""
-    return docs.select(F.explode("items").alias("i"), "_source_file").select(
+    """Older reference shape: every item field as a dotted column, plus lineage.
+
+    ``position`` is an item's place in its document.
+    """
+    return docs.select(F.posexplode("items").alias("position", "i"), "_source_file").select(
+        "position",
         F.col("i.kind").alias("kind"),
         F.col("i.etag").alias("etag"),
         F.col("i.id").alias("id"),
@@ -241,7 +246,7 @@ def land_snapshots(df: DataFrame, path: str, now: datetime) -> None:
     """
     items = df.select(C.clean_region(F.col("region")).alias("region"), "item")
     counts = items.groupBy("region").agg(F.count(F.lit(1)).alias("n"))
-    docs = items.join(counts, "region").select(
+    docs = items.join(broadcast_if_small(counts), "region").select(
         "region",
         F.array("item").alias("items"),
         _metadata(now, F.col("n")).alias("_pipeline_metadata"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from strata import files
@@ -13,6 +14,7 @@ from strata.sources.landing import normalize_snapshots, quarantine, read_documen
 from strata.tables import Table
 
 RAW_LAYOUT = ["region", "ingest_date"]
+WRITERS_PER_PARTITION = 16
 INGESTED = StructType([*RAW_STATISTICS.fields, StructField("ingest_date", StringType())])
 
 
@@ -29,10 +31,13 @@ def ingest_available(
 
     The file sink's own log makes the append exactly-once.  Each batch takes at
     most ``files_per_batch`` files, so a first run over a full landing area is
-    many bounded batches.
+    many bounded batches.  Rows of one region and day are brought together for
+    writing, spread over a few tasks so that a large region is no hot spot.
     """
     docs = _landed(spark, landing, multi_line, files_per_batch)
     raw = with_ingest_date(normalize_snapshots(docs, run_ts))
+    writer = F.pmod(F.xxhash64("video_id"), F.lit(WRITERS_PER_PARTITION))
+    raw = raw.repartition(*RAW_LAYOUT, writer)
     _run_to_end(
         raw.writeStream.format("parquet")
         .partitionBy(*RAW_LAYOUT)
@@ -64,7 +69,9 @@ def has_ingested(spark: SparkSession, raw_path: str) -> bool:
     return files.exists(spark, raw_path)
 
 
-def upsert_available(spark: SparkSession, raw_path: str, table: Table, checkpoint: str) -> None:
+def upsert_available(
+    spark: SparkSession, raw_path: str, table: Table, checkpoint: str, files_per_batch: int = 10_000
+) -> None:
     """Bring rows newly added to the raw log into the curated table.
 
     A batch that is run again after a failure upserts the same rows again, which
@@ -74,7 +81,7 @@ def upsert_available(spark: SparkSession, raw_path: str, table: Table, checkpoin
     def apply(batch: DataFrame, _: int) -> None:
         table.upsert(curate_statistics(batch), CURATED_KEY)
 
-    raw = spark.readStream.schema(INGESTED).parquet(raw_path).drop("ingest_date")
+    raw = spark.readStream.schema(INGESTED).option("maxFilesPerTrigger", files_per_batch).parquet(raw_path).drop("ingest_date")
     _run_to_end(raw.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint))
 
 

@@ -79,7 +79,8 @@ class Table:
         if descriptor is None:
             raise FileNotFoundError(f"no table at {self.path}")
         schema = StructType.fromJson(descriptor["schema"])
-        df = self.spark.read.schema(schema).parquet(f"{self.path}/{descriptor['data']}").select(schema.names)
+        df = self.spark.read.schema(schema).parquet(f"{self.path}/{descriptor['data']}")
+        df = df.select(*[f"`{name}`" for name in schema.names])
         return df if regions is None else df.where(F.col("region").isin(list(regions)))
 
     # ── writing ────────────────────────────────────────────────────────────

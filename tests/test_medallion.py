@@ -3,8 +3,10 @@ from datetime import datetime, timezone
 import pytest
 from helpers import T1, T2, as_set, document, item, write_json
 
+from strata.operators import legacy
 from strata.operators.quality import QualityError
-from strata.plans.medallion import Landing, Medallion, NothingLanded
+from strata.plans.medallion import Landing, Medallion, NothingLanded, RunReport
+from strata.plans.older import OlderMedallion
 from strata.tables import Lake
 
 NOW = datetime(2024, 1, 5, 12, tzinfo=timezone.utc)
@@ -45,6 +47,40 @@ def test_run_twice_changes_nothing_then_new_data_arrives(spark, tmp_path, source
     assert (channel["total_videos"], channel["categories"], channel["rank_in_region"]) == (13, ["Music"], 1)
 
 
+def test_extracts_and_warnings(tmp_path, source, jobs):
+    write_json(tmp_path / "stats/region=us/neg.json", document([item("neg", views="-1", channel="c9")]))
+    with pytest.raises(QualityError):
+        jobs.run(source, NOW)
+    report = RunReport()
+    jobs.build_marts(report)
+    assert jobs.refresh_extracts() == {n: report.rows[n] for n in jobs.extracts}
+    assert "categories" not in jobs.extracts["channel_analytics"].read().columns
+
+
+def test_older_jobs(spark, tmp_path, source):
+    jobs = OlderMedallion(spark, Lake(spark, str(tmp_path / "old")), "gold_old")
+    texts = ", ".join(f"{n} string" for n in legacy.OUTPUT)
+    blank = dict.fromkeys(legacy.OUTPUT)
+    rows = [
+        blank | {"video_id": f"v{i}", "region": r, "title": "t", "channel_title": "c", "views": "5",
+                 "trending_date": "24.05.01", "category_id": "10"}
+        for i, r in enumerate(["us"] * 12 + ["gb", "de"])
+    ]
+    bronze = spark.createDataFrame([tuple(r[n] for n in legacy.OUTPUT) for r in rows], texts)
+    assert jobs.clean_statistics(bronze.where("false"), NOW, "j") == {"read": 0, "written": 0}
+    counts = jobs.clean_statistics(bronze, NOW, "j")
+    assert (counts["read"], counts["written"], counts["negative_views"]) == (13, 13, 0)
+    assert jobs.build_gold(NOW)["trending_analytics"] == 2
+    assert spark.table("gold_old.channel_analytics").select("categories").first()[0] == ["Unknown"]
+    write_json(tmp_path / "ref/region=gb/none.json", {"items": []})
+    assert [f.rsplit("/", 1)[1] for f in jobs.clean_reference(source.reference, "2024-01-05T00:00:00")] == ["none.json"]
+    jobs.build_gold(NOW)
+    assert spark.table("gold_old.channel_analytics").select("categories").first()[0] == ["Music"]
+    with pytest.raises(QualityError) as caught:
+        jobs.check(NOW)
+    assert {(f["table_name"], f["check_name"]) for f in caught.value.failed} == {("clean_reference_data", "row_count")}
+
+
 def test_gate_blocks_the_marts(tmp_path, source, jobs):
     write_json(tmp_path / "stats/region=gb/x.json", document([item(f"w{i}", channel=None) for i in range(3)], region="gb"))
     with pytest.raises(QualityError) as caught:

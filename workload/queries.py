@@ -290,7 +290,7 @@ def legacy_quality(spark, d):
 
 
 def _legacy_clean(spark, d):
-    return legacy.clean(base.events_legacy(spark, d), NOW, "bronze_to_silver")
+    return legacy.clean(base.events_legacy(spark, d), NOW, "clean")
 
 
 def _legacy_lookup(spark, d):
