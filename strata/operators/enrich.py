@@ -109,6 +109,11 @@ def category_analytics(stats: DataFrame, lookup: DataFrame | None, keyed: bool =
     return share_of_total(category_rollup(stats, lookup, keyed), DAY, "total_views", "view_share_pct")
 
 
+def refreshed(mart: DataFrame, days: DataFrame, rebuilt: DataFrame) -> DataFrame:
+    """A daily mart with the rows of ``days`` (region, day) rebuilt."""
+    return mart.join(days, DAY, "left_anti").unionByName(rebuilt)
+
+
 def share_of_total(df: DataFrame, by: Sequence[str], measure: str, out: str, digits: int | None = None) -> DataFrame:
     """Percentage of ``measure`` in its group's total; null where that is 0.
 

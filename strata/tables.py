@@ -184,7 +184,7 @@ class Table:
             staged = self.spark.read.schema(batch.schema).parquet(staged_path)
             self._check_key(staged, key)
             schema = evolved(StructType.fromJson(self._descriptor()["schema"]), batch.schema)
-            touched = self.read().where(self._touched(staged))
+            touched = self.read().where(self.partitions_of(staged))
             kept = touched.join(staged.select(*key), list(key), "left_anti")
             merged = conform(kept, schema).unionByName(conform(staged, schema))
             self._write(merged, f"{self.path}/{PENDING}", "overwrite", flat=True)
@@ -204,8 +204,8 @@ class Table:
         if found:
             raise KeyProblem(f"null or repeated upsert key {list(key)}, for example {found.asDict()}")
 
-    def _touched(self, staged: DataFrame) -> Column:
-        """Literal partition predicate for the batch, so the scan is pruned.
+    def partitions_of(self, rows: DataFrame) -> Column:
+        """Literal predicate for the partitions ``rows`` lie in, so scans are pruned.
 
         Only distinct partition values come to the driver: at most one row per
         table partition, which the driver lists anyway to plan a scan.
@@ -213,7 +213,7 @@ class Table:
         if not self.partition_by:
             return F.lit(True)
         *outer, last = self.partition_by
-        found = staged.select(*self.partition_by).distinct().collect()
+        found = rows.select(*self.partition_by).distinct().collect()
         groups: dict[tuple, list] = {}
         for row in found:
             groups.setdefault(tuple(row[c] for c in outer), []).append(row[last])
@@ -221,7 +221,7 @@ class Table:
         for values, last_values in groups.items():
             same = [F.col(c) == F.lit(v) for c, v in zip(outer, values)]
             terms.append(reduce(lambda a, b: a & b, [*same, F.col(last).isin(last_values)]))
-        return reduce(lambda a, b: a | b, terms)
+        return reduce(lambda a, b: a | b, terms, F.lit(False))
 
     def _apply_pending(self) -> None:
         text = files.read_text(self.spark, f"{self.path}/{PENDING_DESCRIPTOR}")

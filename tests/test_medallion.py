@@ -81,6 +81,19 @@ def test_older_jobs(spark, tmp_path, source):
     assert {(f["table_name"], f["check_name"]) for f in caught.value.failed} == {("clean_reference_data", "row_count")}
 
 
+def test_changed_days_gives_the_full_marts(tmp_path, source, jobs):
+    older = [item(f"o{i}", category="29") for i in range(12)]
+    write_json(tmp_path / "stats/region=us/old.json", document(older, ts="2024-01-04T10:00:00.000000+00:00"))
+    jobs.run(source, NOW, changed_days=True)
+    write_json(tmp_path / "stats/region=us/b.json", document([item("v1", views="999"), item("new", channel="c2")], ts=T2))
+    write_json(tmp_path / "stats/region=gb/b.json", document([item("g")], region="gb", ts=T2))
+    jobs.run(source, NOW, changed_days=True)
+    partial = {name: sorted(df.collect()) for name, df in jobs.read_marts().items()}
+    assert len(partial["trending_analytics"]) == 3
+    jobs.build_marts(RunReport())
+    assert {name: sorted(df.collect()) for name, df in jobs.read_marts().items()} == partial
+
+
 def test_gate_blocks_the_marts(tmp_path, source, jobs):
     write_json(tmp_path / "stats/region=gb/x.json", document([item(f"w{i}", channel=None) for i in range(3)], region="gb"))
     with pytest.raises(QualityError) as caught:
