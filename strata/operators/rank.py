@@ -4,83 +4,52 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.session import stage
+from strata.session import broadcast_if_small, stage
 
-ROWS_PER_TASK = 2_000_000
-SPLIT_CANDIDATES = 64
+# monotonically_increasing_id() holds the partition number above this bit and
+# the row's place in its partition below it.
+PLACE_BITS = 33
+MAX_BROADCAST_ROWS = 100_000
+
+
+def _order(measure: str, tie: str) -> list[Column]:
+    return [F.col(measure).desc_nulls_last(), F.col(tie).asc_nulls_first()]
 
 
 def top_within(df: DataFrame, by: Sequence[str], measure: str, tie: str, out: str, k: int) -> DataFrame:
     """The first ``k`` of each group.  Map tasks keep ``k`` rows per group before
     the shuffle, so group size does not matter."""
-    return df.withColumn(out, _row_number(by, measure, tie)).where(F.col(out) <= k)
+    number = F.row_number().over(Window.partitionBy(*by).orderBy(*_order(measure, tie)))
+    return df.withColumn(out, number.cast("bigint")).where(F.col(out) <= k)
 
 
-def rank_within(
-    df: DataFrame, by: Sequence[str], measure: str, tie: str, out: str, rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
+def rank_within(df: DataFrame, by: Sequence[str], measure: str, tie: str, out: str) -> DataFrame:
     """Number rows 1..n per group by ``measure`` descending, then ``tie``.
 
-    Groups of up to ``rows_per_task`` rows are numbered by a window.  A larger
-    group is cut along the sort order into slices; a row's number is its number
-    in its slice plus the rows of the slices before it.  Split points come from
-    a hashed subset of the keys: they only set how even the slices are, every
-    row is numbered and the result does not depend on them.
+    A window would sort each group in one task.  Here all rows are range
+    partitioned and sorted by (group, measure, tie) and stored with their place
+    in that order, so a group of any size spreads over partitions.  Within a
+    partition a group's rows are consecutive; a row's number is its place after
+    the group's first place there, plus the group's rows in earlier partitions.
+    Only that small table per (group, partition) is cumulated.
     """
-    rows = stage(df, "rank")
-    sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_task)
-    # At most (all rows / rows_per_task) groups are that large.
-    large = sizes.collect()
-    if not large:
-        return rows.withColumn(out, _row_number(by, measure, tie))
-
-    total = sum(group["_n"] for group in large)
-    wanted = SPLIT_CANDIDATES * -(-total // rows_per_task)
-    large_df = F.broadcast(df.sparkSession.createDataFrame(large, sizes.schema).select(*by))
-    position = F.struct(
-        F.col(measure).isNull().alias("no_measure"),
-        (-F.col(measure)).alias("measure"),
-        F.col(tie).alias("tie"),
-    )
-
-    buckets = 1_000_000
-    picked = F.pmod(F.xxhash64(*by, measure, tie), F.lit(buckets)) < max(1, min(buckets, wanted * buckets // total))
-    splits = (
-        rows.where(picked)
-        .join(large_df, list(by), "left_semi")
-        .groupBy(*by)
-        .agg(F.array_sort(F.collect_list(position)).alias("_all"))
-        .select(*by, F.filter("_all", lambda _, i: i % SPLIT_CANDIDATES == 0).alias("_splits"))
-    )
-    # About one split point per rows_per_task rows in all: a bounded broadcast.
-    sliced = (
-        rows.join(F.broadcast(splits), list(by), "left")
-        .withColumn("_at", position)
-        .withColumn(
-            "_slice",
-            F.when(F.col("_splits").isNull(), 0).otherwise(
-                F.size(F.filter("_splits", lambda point: point <= F.col("_at")))
-            ),
-        )
-        .drop("_splits", "_at")
-    )
-    before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        sliced.join(large_df, list(by), "left_semi")
-        .groupBy(*by, "_slice")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*by, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    )
+    order = [*[F.col(c).asc_nulls_first() for c in by], *_order(measure, tie)]
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = stage(placed.withColumn("_at", F.monotonically_increasing_id()), "rank")
+
+    part = F.shiftright("_at", PLACE_BITS)
+    runs = rows.groupBy(*by, part.alias("_part")).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    shifts = runs.select(*by, "_part", (before - F.col("_first") + 1).alias("_shift"))
+
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in by]
+    same.append(F.shiftright("r._at", PLACE_BITS) == F.col("s._part"))
     return (
-        sliced.join(F.broadcast(offsets), [*by, "_slice"], "left")
-        .withColumn(out, _row_number([*by, "_slice"], measure, tie) + F.coalesce("_before", F.lit(0)))
-        .select(*rows.columns, out)
+        rows.alias("r")
+        .join(broadcast_if_small(shifts, MAX_BROADCAST_ROWS).alias("s"), same)
+        .select(*[F.col(f"r.{c}") for c in df.columns], (F.col("r._at") + F.col("s._shift")).alias(out))
     )
-
-
-def _row_number(by: Sequence[str], measure: str, tie: str):
-    window = Window.partitionBy(*by).orderBy(F.col(measure).desc_nulls_last(), F.col(tie).asc_nulls_first())
-    return F.row_number().over(window).cast("bigint")

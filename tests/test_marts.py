@@ -5,9 +5,8 @@ from helpers import T1, T3, as_set, raw, raw_row, reference
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from strata.operators import enrich
+from strata.operators import enrich, rank
 from strata.operators.clean import curate_reference, curate_statistics
-from strata.operators.rank import rank_within, top_within
 from strata.plans import serve
 
 
@@ -70,20 +69,32 @@ def test_mart_totals_agree(stats, lookup):
     assert by_channel == by_category == by_day == 800
 
 
-@pytest.mark.parametrize("rows_per_task", [50, 137, 10_000_000])
-def test_sliced_rank_equals_window_rank(spark, rows_per_task):
-    """A hot group of two thirds of the rows, with most measures tied."""
+@pytest.mark.parametrize("partitions,adaptive,broadcast", [(1, True, 99), (7, False, 99), (40, False, 99), (40, False, 3)])
+def test_spread_rank_equals_window_rank(spark, monkeypatch, partitions, adaptive, broadcast):
+    """A hot group of two thirds of the rows, half of the measures tied, some null."""
+    monkeypatch.setattr(rank, "MAX_BROADCAST_ROWS", broadcast)
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    spark.conf.set("spark.sql.adaptive.enabled", str(adaptive).lower())
+    try:
+        _compare_rank(spark)
+    finally:
+        for key, value in saved.items():
+            spark.conf.set(key, value)
+
+
+def _compare_rank(spark):
     df = spark.range(6000).select(
-        F.when(F.col("id") % 3 < 2, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 40)).alias("g"),
+        F.when(F.col("id") % 3 < 2, "hot").when(F.col("id") % 40 != 2, F.concat(F.lit("g"), F.col("id") % 40)).alias("g"),
         F.when(F.col("id") % 2 == 0, 0).when(F.col("id") % 7 != 0, F.col("id") * 7919 % 1000).alias("m"),
         F.concat(F.lit("n"), F.col("id")).alias("t"),
     )
     w = Window.partitionBy("g").orderBy(F.col("m").desc_nulls_last(), "t")
     want = as_set(df.withColumn("r", F.row_number().over(w)), "g", "t", "r")
-    got = rank_within(df, ["g"], "m", "t", "r", rows_per_task=rows_per_task)
+    got = rank.rank_within(df, ["g"], "m", "t", "r")
     assert got.columns == ["g", "m", "t", "r"]
     assert as_set(got, "g", "t", "r") == want
-    top = top_within(df, ["g"], "m", "t", "r", 5)
+    top = rank.top_within(df, ["g"], "m", "t", "r", 5)
     assert as_set(top, "g", "t", "r") == {x for x in want if x[2] <= 5}
 
 
