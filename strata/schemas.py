@@ -69,7 +69,7 @@ def landed_document(item: StructType) -> StructType:
 
 
 SNAPSHOT_DOCUMENT = landed_document(SNAPSHOT_ITEM)
-REFERENCE_DOCUMENT = landed_document(REFERENCE_ITEM)
+REFERENCE_DOCUMENT = StructType([*_strings("kind", "etag"), *landed_document(REFERENCE_ITEM).fields])
 
 RAW_STATISTICS = StructType(
     [

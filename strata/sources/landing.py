@@ -39,9 +39,14 @@ def iso_now(now: datetime | None = None) -> str:
 
 
 def read_documents(
-    spark: SparkSession, paths: Paths, schema: StructType, multi_line: bool = True, files_per_batch: int | None = None
+    spark: SparkSession,
+    paths: Paths,
+    schema: StructType,
+    multi_line: bool = True,
+    files_per_batch: int | None = None,
+    glob: str = "*.json",
 ) -> DataFrame:
-    """Landed documents with their file.  Files of other suffixes are left out.
+    """Landed documents with their file.  Files of other names are left out.
 
     With ``files_per_batch`` the one path is followed as a stream of new files.
     """
@@ -51,7 +56,7 @@ def read_documents(
         .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
     )
     docs = reader.json(paths if isinstance(paths, str) else list(paths))
@@ -60,11 +65,14 @@ def read_documents(
 
 def quarantine(docs: DataFrame) -> DataFrame:
     """Files (or lines) that are not readable JSON: one record each, none lost."""
-    return docs.where(F.col(CORRUPT).isNotNull()).select(
+    # Spark refuses a JSON scan of nothing but the corrupt-record column, so the
+    # filter also looks at the items, whatever columns the caller keeps.
+    reads_items = F.coalesce(F.size("items"), F.lit(0)) >= -1
+    partly = F.when(F.col("items").isNotNull(), "document only partly readable")
+    return docs.where(F.col(CORRUPT).isNotNull() & reads_items).select(
         F.col("_source_file").alias("key"),
-        F.lit("not a readable JSON document").alias("error"),
+        F.coalesce(partly, F.lit("not a readable JSON document")).alias("error"),
         F.col(CORRUPT).alias("content"),
-        F.col("items").isNotNull().alias("items_readable"),
     )
 
 
@@ -145,9 +153,14 @@ def empty_reference_files(docs: DataFrame) -> DataFrame:
 def flat_reference(docs: DataFrame, run_ts: str) -> DataFrame:
     """Older reference shape: every item field as a dotted column, plus lineage.
 
-    ``position`` is an item's place in its document.
+    A document without an item list counts as one item itself.  ``position`` is
+    an item's place in its document.
     """
-    return docs.select(F.posexplode("items").alias("position", "i"), "_source_file").select(
+    item = docs.schema["items"].dataType.elementType
+    itself = F.from_json(F.to_json(F.struct("kind", "etag")), item)
+    items = F.coalesce("items", F.array(itself))
+    good = docs.where(F.col(CORRUPT).isNull())
+    return good.select(F.posexplode(items).alias("position", "i"), "_source_file").select(
         "position",
         F.col("i.kind").alias("kind"),
         F.col("i.etag").alias("etag"),

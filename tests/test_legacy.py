@@ -93,3 +93,6 @@ def test_flat_reference(spark, tmp_path):
     docs = landing.read_documents(spark, str(tmp_path), REFERENCE_DOCUMENT)
     flat_rows = landing.flat_reference(docs, "now")
     assert flat_rows.select(F.col("`snippet.title`"), "region").first() == ("Film", "us")
+    write_json(tmp_path / "region=gb/r.json", {"kind": "k1", "etag": "e1"})
+    got = as_set(landing.flat_reference(landing.read_documents(spark, str(tmp_path), REFERENCE_DOCUMENT), "now"), "kind", "id")
+    assert got == {(None, "1"), ("k1", None)}

@@ -426,3 +426,53 @@ select cast(event_id as varchar) as video_id, 'video ' || cast(user_id as varcha
   channel as channel_title, tags, k as views, cast(floor(value) as bigint) as likes,
   case when event_id % 5 <> 0 then k % 13 end as comment_count, event_type as region, '2024-02-01' as ingest_date
 from items"""
+ORACLES["bad_lines"] = f"""
+select cast(event_id as varchar) as video_id, 'xx' as region, cast(null as varchar) as bad
+from events where event_id % 10 <> 0
+union all
+select null, '', '{{"items": [{{"id": ' || cast(event_id as varchar) from events where event_id % 10 = 0"""
+ORACLES["streamed_upsert"] = """
+with waves as (
+  select user_id, event_type, event_id % 2 as wave, count(*) as n from events group by all
+)
+select cast(user_id as varchar) as video_id, event_type as region, date '2024-02-01' as trending_date_parsed,
+  n as views, '2024-02-01T0' || cast(6 + wave as varchar) || ':30:00.000000+00:00' as _ingestion_timestamp
+from waves
+qualify row_number() over (partition by user_id, event_type order by wave desc) = 1"""
+ORACLES["whole_run"] = f"""with {ITEMS},
+landed as (
+  select event_id, channel, event_type as region, cast(k % 40 as varchar) as category_id, k as views,
+    cast(floor(value) as bigint) as likes, case when event_id % 5 <> 0 then k % 13 else 0 end as comments
+  from items
+),
+names as (
+  select cast(p_size as varchar) as id, {_EVENT_TYPES}[cast(p_partkey % 5 + 1 as int)] as region,
+    min(p_brand || ' ' || p_type) as name
+  from part group by 1, 2
+),
+roll as (
+  select channel as channel_title, l.region, count(*) as total_videos, cast(sum(views) as bigint) as total_views,
+    avg(case when views > 0 then cast(likes + comments as double) / views else 0.0 end) as rate,
+    list_sort(list(distinct coalesce(name, 'Unknown'))) as categories
+  from landed l left join names n on l.category_id = n.id and l.region = n.region
+  where channel is not null group by channel, l.region
+)
+select * exclude (rate), {_mean("rate")} as avg_engagement_rate,
+  row_number() over (partition by region order by total_views desc, channel_title) as rank_in_region
+from roll"""
+ORACLES["legacy_reference"] = """
+select cast(p_size as varchar) as id, p_name as title, p_brand as _source_file, p_partkey as position
+from part qualify row_number() over (partition by p_brand, p_size order by p_partkey desc) = 1"""
+ORACLES["newer_than_mark"] = f"""with {EVENTS}
+select video_id, region, _ingestion_timestamp, views from raw
+where _ingestion_timestamp > (
+  select max(_ingestion_timestamp) from raw
+  where source = 'kaggle_historical' and _ingestion_timestamp < '2024-01-20')"""
+ORACLES["region_scan"] = f"""with ref as (
+  select cast(c_custkey % 40 + 1 as varchar) as id, c_mktsegment || ' ' || cast(c_custkey % 4 as varchar) as category_name,
+    lower(r_name) as region,
+    strftime(timestamp '2024-01-01' + to_seconds(c_custkey), {_ISO}) as _ingestion_timestamp, 'customer' as _source_file
+  from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey
+  qualify row_number() over (partition by c_custkey % 40, r_name order by c_custkey desc) = 1
+)
+select * from ref where region in ('asia', 'europe')"""

@@ -14,6 +14,7 @@ from strata.operators.clean import curate_reference, curate_statistics
 from strata.operators.incremental import newer_than, watermark
 from strata.operators.rank import top_within
 from strata.plans import serve
+from strata.plans.medallion import Landing, Medallion
 from strata.schemas import (
     CURATED_KEY,
     CURATED_STATISTICS,
@@ -25,7 +26,7 @@ from strata.schemas import (
 from strata.session import apply_settings, scratch_path, stage
 from strata.sources import landing
 from strata.streaming import ingest
-from strata.tables import Table
+from strata.tables import Lake, Table
 from workload import base
 
 NOW = datetime(2024, 2, 1, 6, 30, 0, tzinfo=timezone.utc)
@@ -122,6 +123,24 @@ def overwrite_partitions(spark, d):
     return target.read()
 
 
+@query
+def newer_than_mark(spark, d):
+    """Raw rows after the high-water mark of the table built from part of them."""
+    raw = base.events_raw(spark, d)
+    first = raw.where(F.col("source") == C.HISTORY_SOURCE)
+    target = Table(spark, scratch_path(spark, "mark"))
+    target.upsert(curate_statistics(first.where(F.col("_ingestion_timestamp") < "2024-01-20")), CURATED_KEY)
+    return newer_than(raw, watermark(target.read())).select("video_id", "region", "_ingestion_timestamp", "views")
+
+
+@query
+def region_scan(spark, d):
+    """A table laid out by region, read for two of them (a pruned scan)."""
+    target = Table(spark, scratch_path(spark, "regions"), ["region"])
+    target.append(curate_reference(base.customer_reference(spark, d)))
+    return target.read(["asia", "europe"])
+
+
 # ── marts ──────────────────────────────────────────────────────────────────
 
 
@@ -322,6 +341,18 @@ def legacy_category(spark, d):
     return _rounded(legacy.category(stats, NOW).drop("_aggregated_at"), "avg_engagement_rate", digits=4)
 
 
+@query
+def legacy_reference(spark, d):
+    """Category items flattened to dotted columns, the last per id and file kept."""
+    flat = base.table(spark, d, "part").select(
+        F.col("p_size").cast("string").alias("id"),
+        F.col("p_name").alias("snippet.title"),
+        F.col("p_brand").alias("_source_file"),
+        F.col("p_partkey").alias("position"),
+    )
+    return legacy.latest_reference(flat, "position").withColumnRenamed("snippet.title", "title")
+
+
 # ── landing ────────────────────────────────────────────────────────────────
 
 
@@ -426,3 +457,57 @@ def incremental_ingest(spark, d):
     return ingest.read_ingested(spark, paths[1]).select(
         "video_id", "title", "channel_title", "tags", "views", "likes", "comment_count", "region", "ingest_date"
     )
+
+
+@query
+def bad_lines(spark, d):
+    """Landed lines of which some are broken: rows of the good ones, texts of the bad."""
+    path = scratch_path(spark, "lines")
+    items = base.snapshot_items(spark, d)
+    good = F.to_json(F.struct(F.array("item").alias("items")))
+    broken = F.concat(F.lit('{"items": [{"id": '), F.col("event_id").cast("string"))
+    lines = items.select(F.when(F.col("event_id") % 10 == 0, broken).otherwise(good).alias("value"))
+    lines.write.text(f"{path}/region=xx")
+    docs = landing.read_documents(spark, path, SNAPSHOT_DOCUMENT, multi_line=False, glob="*.txt")
+    rows = landing.normalize_snapshots(docs, "t0").select("video_id", "region", F.lit(None).cast("string").alias("bad"))
+    bad = landing.quarantine(docs).select(
+        F.lit(None).cast("string").alias("video_id"), F.lit("").alias("region"), F.col("content").alias("bad")
+    )
+    return rows.unionByName(bad)
+
+
+@query
+def streamed_upsert(spark, d):
+    """Per-user totals landed in two waves; the later wave replaces the earlier."""
+    root = scratch_path(spark, "streamed")
+    events = base.table(spark, d, "events")
+    table = Table(spark, f"{root}/table", ["region", "trending_date_parsed"])
+    for half, now in enumerate((NOW, LATER)):
+        totals = (
+            events.where(F.col("event_id") % 2 == half)
+            .groupBy("user_id", F.col("event_type").alias("region"))
+            .agg(F.count(F.lit(1)).alias("n"))
+        )
+        item = F.struct(
+            F.col("user_id").cast("string").alias("id"),
+            F.struct(F.col("n").cast("string").alias("viewCount")).alias("statistics"),
+        )
+        landing.land_snapshots(totals.select("region", item.alias("item")), f"{root}/landing", now)
+        ingest.ingest_available(
+            spark, f"{root}/landing", f"{root}/raw", f"{root}/check", landing.iso_now(now), multi_line=False
+        )
+        ingest.upsert_available(spark, f"{root}/raw", table, f"{root}/upsert")
+    return table.read().select("video_id", "region", "trending_date_parsed", "views", "_ingestion_timestamp")
+
+
+@query
+def whole_run(spark, d):
+    """Landing to marts in one run, with its checks; the channel mart."""
+    root = scratch_path(spark, "run")
+    landing.land_snapshots(base.snapshot_items(spark, d).select("region", "item"), f"{root}/stats", NOW)
+    names = base.part_reference(spark, d).groupBy("id", "region").agg(F.min("title").alias("title"))
+    item = F.struct(F.col("id"), F.struct("title").alias("snippet"))
+    landing.land_reference(names.select("region", item.alias("item")), f"{root}/ref", NOW)
+    jobs = Medallion(spark, Lake(spark, f"{root}/lake"))
+    jobs.run(Landing(f"{root}/stats", f"{root}/ref", multi_line=False), NOW)
+    return _rounded(jobs.read_marts()["channel_analytics"], "avg_engagement_rate")
