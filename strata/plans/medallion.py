@@ -53,6 +53,8 @@ class Medallion:
         self.raw_reference = lake.table("raw", "raw_reference_data", ["region"])
         self.live_path = lake.path("raw", "raw_statistics_live")
         self.live_checkpoint = lake.path("raw", "raw_statistics_live_checkpoint")
+        self.bad_path = lake.path("raw", "quarantine_live")
+        self.bad_checkpoint = lake.path("raw", "quarantine_live_checkpoint")
         self.quarantine = lake.table("raw", "quarantine")
         self.statistics = lake.table("curated", "curated_statistics", STATS_LAYOUT)
         self.reference = lake.table("curated", "curated_reference_data", ["region"])
@@ -71,30 +73,33 @@ class Medallion:
         otherwise statistics files are taken once, by the file stream.
         """
         run_ts = landing.iso_now(now)
-        docs = landing.read_documents(self.spark, source.statistics, SNAPSHOT_DOCUMENT, source.multi_line)
+
+        def all_docs() -> DataFrame:
+            return landing.read_documents(self.spark, source.statistics, SNAPSHOT_DOCUMENT, source.multi_line)
+
         ref_docs = landing.read_documents(self.spark, source.reference, REFERENCE_DOCUMENT, source.multi_line)
-        frames = []
+        frames, bad = [], landing.quarantine(ref_docs)
         if rescan:
+            docs = all_docs()
             frames.append(landing.normalize_snapshots(docs, run_ts))
+            bad = bad.unionByName(landing.quarantine(docs))
         else:
-            ingest.ingest_available(
-                self.spark, source.statistics, self.live_path, self.live_checkpoint, run_ts, source.multi_line
-            )
+            new = self.spark, source.statistics
+            ingest.ingest_available(*new, self.live_path, self.live_checkpoint, run_ts, source.multi_line)
+            ingest.quarantine_available(*new, self.bad_path, self.bad_checkpoint, source.multi_line)
+            bad = bad.unionByName(self.spark.read.schema(bad.schema).parquet(self.bad_path))
         if source.history:
             frames.append(landing.read_history_csv(self.spark, source.history, run_ts))
-        n_stats = 0
         if frames:
-            n_stats = self.raw_statistics.append(
-                with_ingest_date(landing.union_shapes(self.spark, frames, RAW_STATISTICS))
-            )
+            batch = with_ingest_date(landing.union_shapes(self.spark, frames, RAW_STATISTICS))
+            report.rows["raw_statistics"] = self.raw_statistics.append(batch)
         n_ref = self.raw_reference.append(landing.normalize_reference(ref_docs, run_ts))
-        bad = landing.quarantine(docs).unionByName(landing.quarantine(ref_docs))
+        report.rows["raw_reference_data"] = n_ref
         self.quarantine.replace(bad)
         report.quarantined = [
             row.asDict() for row in self.quarantine.read().select("key", "error").limit(100).collect()
         ]
-        report.rows |= {"raw_statistics": n_stats, "raw_reference_data": n_ref}
-        if n_stats == 0 and n_ref == 0 and not self._any_readable(docs, ref_docs):
+        if not report.rows.get("raw_statistics") and n_ref == 0 and not self._any_readable(ref_docs, all_docs()):
             raise NothingLanded(f"no readable file under {source.statistics} or {source.reference}")
 
     @staticmethod

@@ -12,7 +12,7 @@ from strata import session  # noqa: E402
 def spark(tmp_path_factory):
     spark = session.build(
         "tests",
-        master="local[4]",
+        master="local[8]",
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",

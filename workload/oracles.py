@@ -441,7 +441,7 @@ from waves
 qualify row_number() over (partition by user_id, event_type order by wave desc) = 1"""
 ORACLES["whole_run"] = f"""with {ITEMS},
 landed as (
-  select event_id, channel, event_type as region, cast(k % 40 as varchar) as category_id, k as views,
+  select event_id, coalesce(channel, 'no name') as channel, event_type as region, cast(k % 40 as varchar) as category_id, k as views,
     cast(floor(value) as bigint) as likes, case when event_id % 5 <> 0 then k % 13 else 0 end as comments
   from items
 ),
@@ -455,7 +455,7 @@ roll as (
     avg(case when views > 0 then cast(likes + comments as double) / views else 0.0 end) as rate,
     list_sort(list(distinct coalesce(name, 'Unknown'))) as categories
   from landed l left join names n on l.category_id = n.id and l.region = n.region
-  where channel is not null group by channel, l.region
+  group by channel, l.region
 )
 select * exclude (rate), {_mean("rate")} as avg_engagement_rate,
   row_number() over (partition by region order by total_views desc, channel_title) as rank_in_region
