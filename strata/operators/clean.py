@@ -87,7 +87,10 @@ def curate_reference(raw: DataFrame) -> DataFrame:
 
 
 def counted(df: DataFrame, observation: Observation) -> DataFrame:
-    """Count rows while they pass; read the number after the next action."""
+    """Count rows while they pass; read the number after the next action.
+
+    For reports: rows of a map task that is run again are counted again.
+    """
     return df.observe(observation, F.count(F.lit(1)).alias("rows"))
 
 
