@@ -1,5 +1,7 @@
 """The physical plans the jobs are meant to have."""
 
+from pathlib import Path
+
 import pytest
 from helpers import T1, as_set, raw, raw_row, reference
 
@@ -65,3 +67,24 @@ def test_region_read_is_pruned(spark, tmp_path, stats):
     assert "PartitionFilters: [isnotnull(region" in plan(table.read(["us"]))
     assert as_set(table.read(["us"]), "region") == {("us",)}
 
+
+
+def test_hot_partition_is_written_by_several_tasks(spark, tmp_path):
+    """The rebalance hint splits a region far above the advisory size, and keeps the small ones whole."""
+    wanted = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB", "spark.sql.shuffle.partitions": "64"}
+    saved = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        table = Table(spark, str(tmp_path / "t"), ["region"])
+        df = spark.range(0, 200_000, numPartitions=8).selectExpr(
+            "md5(cast(id as string)) as v", "if(id % 3 < 2, 'hot', concat('r', id % 50)) as region"
+        )
+        assert table.replace(df) == 200_000
+    finally:
+        for key, value in saved.items():
+            spark.conf.set(key, value)
+    files_of = {d.name: len(list(d.glob("*.parquet"))) for d in Path(table.data_path).glob("region=*")}
+    assert files_of.pop("region=hot") > 4
+    assert sorted(files_of.values())[len(files_of) // 2] == 1
+    assert table.read().count() == 200_000

@@ -152,3 +152,15 @@ def test_descriptor_is_plain(spark, table):
     table.replace(curated(spark, raw_row("a")))
     text = files.read_text(spark, f"{table.path}/_table.json")
     assert json.loads(text)["partition_by"] == LAYOUT
+
+
+def test_unpartitioned_upsert(spark, tmp_path):
+    table = Table(spark, str(tmp_path / "flat"))
+    table.upsert(curated(spark, raw_row("a", views=1), raw_row("x", views=9)), CURATED_KEY)
+    table.upsert(curated(spark, raw_row("a", views=2, ts=T2), raw_row("b", views=3, ts=T3)), CURATED_KEY)
+    assert as_set(table.read(), "video_id", "views") == {("a", 2), ("x", 9), ("b", 3)}
+
+
+def test_partition_columns_must_be_in_the_key(spark, table):
+    with pytest.raises(ValueError):
+        table.upsert(curated(spark, raw_row("a")), ["video_id"])
