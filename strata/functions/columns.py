@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The two source tags of raw rows.
 API_SOURCE = "youtube_api_v3"
 HISTORY_SOURCE = "kaggle_historical"
 DAY_MONTH = r"^\d{2}\.\d{2}\.\d{2}$"
