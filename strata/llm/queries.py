@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, chat, licenses, quality_rules
+from strata.llm import bpe, chat, decontaminate, languages, licenses, personal_data, quality_rules, secrets
 from strata.llm.common import prepare, stage, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,6 +102,57 @@ def op7_licenses(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def op4_personal_data(spark: SparkSession, d: str) -> DataFrame:
+    found = personal_data.found_spans(personal_data.occurrences(table(spark, d, "documents")))
+    span = lambda o: F.struct(o["kind"].alias("kind"), o["start"].alias("start"), o["end"].alias("end"))
+    base = F.transform(F.filter("found", lambda o: o["kind"].isNotNull()), span)
+    extra = F.coalesce(F.transform("extra", span), F.array().cast("array<struct<kind:string,start:bigint,end:bigint>>"))
+    place = lambda s: F.struct(F.array_position(F.array(*map(F.lit, personal_data.KINDS)), s["kind"]), s["start"], s.alias("s"))
+    ordered = F.transform(F.sort_array(F.transform(F.concat("base", extra), place)), lambda x: x["s"])
+    return found.withColumn("base", base).select(
+        "doc_id",
+        *[of_kind("base", kind).alias(f"n_{kind}") for kind in personal_data.KINDS],
+        hexdigest(joined_spans(F.col("base"))).alias("base_sha256"),
+        joined_spans(ordered).alias("spans"),
+    )
+
+
+@query
+def op6_decontaminate(spark: SparkSession, d: str) -> DataFrame:
+    return decontaminate.find(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query
+def op9_languages(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    model = languages.fit(docs.where(~languages.held_out(F.col("doc_id"), 4)))
+    found = languages.predict(docs, model)
+    return found.select("doc_id", languages.held_out(F.col("doc_id"), 4).alias("held_out"), "lang_pred", "score")
+
+
+def joined_spans(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def of_kind(spans: str, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
+
+
+@query
+def op10_secrets(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    found = secrets.scan(docs, secrets.fit(docs))
+    place = lambda s: F.struct(s["start"], F.array_position(F.array(*map(F.lit, secrets.KINDS + [secrets.FOUND])), s["kind"]), s.alias("s"))
+    ordered = F.transform(F.sort_array(F.transform(F.concat("base", "found"), place)), lambda x: x["s"])
+    return found.select(
+        "doc_id",
+        *[of_kind("base", kind).alias(f"n_{kind}") for kind in secrets.KINDS],
+        hexdigest(joined_spans(F.col("base"))).alias("base_sha256"),
+        joined_spans(ordered).alias("spans"),
+    )
+
+
 ORACLES: dict[str, str] = {
     "op2_chat": r"""
         with rows as (

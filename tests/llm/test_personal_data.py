@@ -1,0 +1,85 @@
+import hashlib
+import random
+import re
+
+import cases
+import pytest
+from strata.llm import personal_data as pii
+from strata.llm import queries
+from strata.llm.common import prepare
+
+TEXTS = [
+    "a@b.co_x@y.zz, x@@y.de @z.de a@b@c.de a.b+c%d_e-f@h-i.jk.lm. q@r.",
+    "1.2.3.4.5.6.7.8 256.1.1.1 1.2.3.4444 001.02.3.4 1.2.3 9.9.9.9.",
+    "4111 1111 1111 1111 4111-1111-1111-1112 4111111111111111 5 41111111111111110000000",
+    "+1 (743) 555-3824 +49 30 1234567. +1-2 ++12345678 +123456789012345 +1234567890123456 +1 .....",
+    "+1 4111 1111 1111 1111 and 10.0.0.1-4111111111111111@x.yz",
+]
+
+
+def brute(text):
+    text = text or ""
+    spans = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)] if len(text) < 50_000 else []
+    digits = lambda s: re.sub("[^0-9]", "", s)
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(p) <= 255 for p in m[0].split(".")):
+            spans.append(("ip", *m.span()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        d = [int(c) for c in digits(m[0])][::-1]
+        if 16 <= len(d) <= 19 and sum(d[::2] + [x * 2 // 10 + x * 2 % 10 for x in d[1::2]]) % 10 == 0:
+            spans.append(("card", *m.span()))
+    spans += [("phone", *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 8 <= len(digits(m[0])) <= 15]
+    digest = hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in spans).encode()).hexdigest()
+    return *[sum(x[0] == k for x in spans) for k in pii.KINDS], digest
+
+
+@pytest.mark.parametrize("source", ["driver", "edge", "written"])
+def test_base_against_brute_force(spark, tmp_path, source):
+    docs = {"driver": cases.driver_docs, "edge": cases.edge_docs, "written": lambda s: cases.docs(s, TEXTS)}[source](spark)
+    folder = cases.written(spark, tmp_path, documents=docs)
+    rows = queries.QUERIES["op4_personal_data"](spark, folder).collect()
+    got = sorted(((r.doc_id, r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) for r in rows), key=repr)
+    assert got == sorted(((r.doc_id, *brute(r.text)) for r in docs.select("doc_id", "text").collect()), key=repr)
+
+
+def test_random_texts_against_brute_force():
+    draw = random.Random(4)
+    for _ in range(3000):
+        text = "".join(draw.choices(["a", "@", ".", "1", "25", "-", " ", "+", "b.c", "(", "4111111111111111", "é", "_", "0"], k=draw.randint(1, 25)))
+        base = pii.base_spans(text)
+        assert hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in base).encode()).hexdigest() == brute(text)[-1], text
+
+
+def corpus():
+    phones = [f"+1 (555) 010-{i:04d}" for i in range(12)]
+    texts = [f"please ring us: {p} today" for p in phones]
+    unseen = [f"please ring us: 555-9{i:03d} today" for i in range(3)]
+    clean = ["the year 1984 was cold", "room 3017 on floor 3", "they sold 12000 of them"]
+    return texts + unseen + clean
+
+
+def test_unseen_identifiers_are_found_by_context(spark):
+    prepare(spark)
+    docs = cases.docs(spark, corpus())
+    rows = {r.doc_id: r for r in pii.found_spans(pii.occurrences(docs)).collect()}
+    for i in range(12, 15):
+        assert [(x.kind, corpus()[i][x.start : x.end]) for x in rows[i].extra] == [("phone", f"555-9{i - 12:03d}")]
+    assert all(rows[i].extra is None for i in rows if i not in (12, 13, 14))
+
+
+def test_redact(spark):
+    prepare(spark)
+    docs = cases.docs(spark, [*corpus(), None, "mail a@b.co now"])
+    out = {r.doc_id: r for r in pii.redact(docs).collect()}
+    assert out[0].text == "please ring us: [PHONE] today" == out[12].text
+    assert out[15].text == corpus()[15]
+    assert out[18].text is None and out[18].n_chars is None
+    assert out[19].text == "mail [EMAIL] now" and out[19].n_chars == len(out[19].text)
+    edge = cases.edge_docs(spark)
+    assert pii.redact(edge).columns == edge.columns and pii.redact(edge).count() == edge.count()
+
+
+def test_empty_table(spark):
+    prepare(spark)
+    assert pii.found_spans(pii.occurrences(cases.empty_docs(spark))).collect() == []
+    assert pii.redact(cases.empty_docs(spark)).collect() == []
