@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, chat, decontaminate, languages, licenses, personal_data, quality_rules, secrets
+from strata.llm import bpe, chat, decontaminate, jaccard_join, language_model, languages, licenses, personal_data, quality_rules, secrets
 from strata.llm.common import prepare, stage, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,6 +102,11 @@ def op7_licenses(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def op3_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
+    return jaccard_join.join(table(spark, d, "documents"))
+
+
 @query
 def op4_personal_data(spark: SparkSession, d: str) -> DataFrame:
     found = personal_data.found_spans(personal_data.occurrences(table(spark, d, "documents")))
@@ -123,6 +128,11 @@ def op6_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.find(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+@query
+def op8_language_model(spark: SparkSession, d: str) -> DataFrame:
+    return language_model.score(table(spark, d, "documents"), languages.held_out(F.col("doc_id"), 7))
+
+
 @query
 def op9_languages(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
