@@ -131,7 +131,7 @@ class Automaton:
             if g:
                 self.fail[s] = self.states[g[4:]]
         self.log_backoff = np.log10(self.backoff)
-        letters = sorted({g[-4:] for g, count, _, _ in grams if g and count})
+        letters = sorted({g[-4:] for g, count, _, _ in grams if g and count}, key=lambda x: int.from_bytes(x, "little"))
         self.letters = {x: i for i, x in enumerate(letters)}
         self.points = np.array([np.frombuffer(x, np.uint32)[0] for x in letters], dtype=np.uint32)
         self.width = max(len(letters), 1)

@@ -229,6 +229,7 @@ def keep_good(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> Da
     takes no shuffle and writes no text.
     """
     model = fit(stage(features(docs, docs.columns[0], text), "counts"))
-    counted = with_counts(docs, text)
-    _, kept = verdict(model, lambda name: F.col(f"_counts.{name}"), threshold)
+    # The counts pass a generator, else the filter would be pushed below them with every count written out.
+    counted = with_counts(docs, text).withColumn("_once", F.explode(F.array("_counts")))
+    _, kept = verdict(model, lambda name: F.col(f"_once.{name}"), threshold)
     return counted.where(kept).select(*[f"`{c}`" for c in docs.columns])
