@@ -5,8 +5,8 @@ uses: the last token of the encoding of every prefix is fixed, and what stands
 before that token is the encoding of the shorter prefix.  So a trie node needs
 only the last token of its path and the node where that token begins.  Going
 depth-first, a node's last token is the one token that ends there and that stays
-apart from the last token of the node it begins at.  What two words share as a
-prefix is worked out once.
+apart from the last token of the node it begins at.  What words of a slice share
+as a prefix is worked out once.
 
 Rows are encoded where they lie: no shuffle, one slice of texts at a time, and a
 word table per Python worker that is emptied when it reaches ``CACHED_WORDS``.
@@ -33,7 +33,6 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 from strata.llm.common import or_empty, slices
 
 CACHED_WORDS = 700_000
-TRIE_WORDS = 50_000
 KNOWN_PAIRS = 1_000_000
 MAX_VOCABULARY_BYTES = 64 << 20
 
@@ -79,7 +78,12 @@ class Vocabulary:
                 and self.apart(self.left[i], self.right[i], self.rank[i])
             )
         self.ids = {self.pieces[i]: i for i in self.pieces if sound[i]}
-        self.longest = max(map(len, self.ids), default=0)
+        # Lengths, longest first, of the tokens that end with three given bytes.
+        lengths: dict[bytes, set[int]] = {}
+        for piece in self.ids:
+            if len(piece) >= 3:
+                lengths.setdefault(piece[-3:], {2, 1}).add(len(piece))
+        self.tails = {tail: tuple(sorted(own, reverse=True)) for tail, own in lengths.items()}
         self.known: dict[tuple[int, int], bool] = {}
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.words = regex.compile(WORD_PATTERN)
@@ -117,55 +121,49 @@ def _vocabulary(text: str) -> Vocabulary:
     return Vocabulary(text)
 
 
-class Trie:
-    def __init__(self) -> None:
-        self.children: list[dict[int, int]] = [{}]
-
-    def insert(self, word: bytes) -> int:
-        """The node at the end of the word's path."""
-        node, children = 0, self.children
-        for byte in word:
-            below = children[node]
-            node = below.get(byte, 0)
-            if not node:
-                node = below[byte] = len(children)
-                children.append({})
-        return node
-
-    def last_tokens(self, vocabulary: Vocabulary) -> tuple[list[int], list[int]]:
-        """Each node's last token and the node where it begins, found depth-first."""
-        ids, longest, compatible = vocabulary.ids, vocabulary.longest, vocabulary.compatible
-        last, begins = [-1] * len(self.children), [0] * len(self.children)
-        path, nodes = bytearray(), [0]
-        waiting = [(node, byte, 1) for byte, node in self.children[0].items()]
-        while waiting:
-            node, byte, depth = waiting.pop()
-            del path[depth - 1 :], nodes[depth:]
-            path.append(byte)
-            nodes.append(node)
-            for start in range(max(0, depth - longest), depth):
-                token = ids.get(bytes(path[start:]))
-                if token is not None and (not start or compatible(last[nodes[start]], token)):
-                    last[node], begins[node] = token, nodes[start]
-                    break
-            else:
-                raise ValueError(f"the vocabulary has no token for byte {byte}")
-            for below, child in self.children[node].items():
-                waiting.append((child, below, depth + 1))
-        return last, begins
-
-
 def encode_words(words: Sequence[bytes], vocabulary: Vocabulary) -> list[list[int]]:
-    trie = Trie()
-    ends = [trie.insert(word) for word in words]
-    last, begins = trie.last_tokens(vocabulary)
-    found = []
-    for node in ends:
-        tokens = []
-        while node:
-            tokens.append(last[node])
-            node = begins[node]
-        found.append(tokens[::-1])
+    """The token ids of distinct words, by one depth-first walk over their trie.
+
+    Sorted words are their trie in depth-first order: the nodes a word adds follow
+    those of the branch it shares with the word before.  So the walk keeps the
+    current branch only: per depth the last token of the path, and where it begins.
+    """
+    ids, tails, known = vocabulary.ids, vocabulary.tails, vocabulary.known
+    found: list[list[int]] = [[]] * len(words)
+    last, begins = [-1], [0]
+    before = b""
+    for i in sorted(range(len(words)), key=words.__getitem__):
+        word = words[i]
+        shared, most = 0, min(len(before), len(word))
+        while shared < most and before[shared] == word[shared]:
+            shared += 1
+        del last[shared + 1 :], begins[shared + 1 :]
+        for depth in range(shared + 1, len(word) + 1):
+            # The one token that ends here and stays apart from the last one where it begins.
+            for length in tails.get(word[max(depth - 3, 0) : depth], (2, 1)):
+                start = depth - length
+                if start < 0:
+                    continue
+                token = ids.get(word[start:depth])
+                if token is None:
+                    continue
+                if start:
+                    pair = last[start], token
+                    apart = known.get(pair)
+                    if not (vocabulary.compatible(*pair) if apart is None else apart):
+                        continue
+                last.append(token)
+                begins.append(start)
+                break
+            else:
+                raise ValueError(f"the vocabulary has no token for byte {word[depth - 1]}")
+        tokens, at = [], len(word)
+        while at:
+            tokens.append(last[at])
+            at = begins[at]
+        tokens.reverse()
+        found[i] = tokens
+        before = word
     return found
 
 
@@ -191,10 +189,8 @@ class Encoder:
         special = self.vocabulary.special
         self.packed.update((w, array("i", [special[w]]).tobytes()) for w in new if w in special)
         new = [w for w in new if w not in special]
-        for at in range(0, len(new), TRIE_WORDS):
-            part = new[at : at + TRIE_WORDS]
-            ids = encode_words([w.encode() for w in part], self.vocabulary)
-            self.packed.update((w, array("i", i).tobytes()) for w, i in zip(part, ids))
+        ids = encode_words([w.encode() for w in new], self.vocabulary)
+        self.packed.update((w, array("i", i).tobytes()) for w, i in zip(new, ids))
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         split = [self.split(t) for t in texts]
@@ -251,15 +247,13 @@ def decode(encoded: DataFrame, vocabulary_path: str) -> DataFrame:
         pieces = [shown.get(i, b"") for i in range(max(shown, default=-1) + 1)]
         size = len(pieces)
         for batch in batches:
+            column = batch.column("ids")
+            offsets, flat = column.offsets.to_numpy(), column.values.to_numpy()
+            inside = (flat >= 0) & (flat < size)
             texts = []
-            for ids in batch.column("ids"):
-                if not ids.is_valid:
-                    texts.append(None)
-                    continue
-                found = ids.values.to_pylist()
-                if found and not (0 <= min(found) and max(found) < size):
-                    found = [i for i in found if 0 <= i < size]
-                texts.append(b"".join([pieces[i] for i in found]).decode("utf-8", "replace"))
+            for valid, a, b in zip(column.is_valid().to_pylist(), offsets, offsets[1:]):
+                own = flat[a:b] if inside[a:b].all() else flat[a:b][inside[a:b]]
+                texts.append(b"".join([pieces[i] for i in own.tolist()]).decode("utf-8", "replace") if valid else None)
             columns = [c for n, c in zip(batch.schema.names, batch.columns) if n != "decoded"]
             names = [n for n in batch.schema.names if n != "decoded"]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], [*names, "decoded"])
