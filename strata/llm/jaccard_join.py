@@ -302,7 +302,8 @@ def classes(
             {"key": pa.array(keys, pa.binary()), "texts": pa.array(texts, pa.int64()), "documents": pa.array(documents, pa.int64()), "least": pa.array(least, pa.binary())}
         )
 
-    found = cells.groupBy("pivot", "row_block", "column_block").applyInArrow(
+    # Dealt by the whole cell: a large pivot's cells go to different tasks.
+    found = cells.repartition("pivot", "row_block", "column_block").groupBy("pivot", "row_block", "column_block").applyInArrow(
         compare, "key binary, texts bigint, documents bigint, least binary"
     )
     found = stage(found, "links")
