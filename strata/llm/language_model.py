@@ -60,30 +60,48 @@ def points_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(parts) if parts else np.zeros(0, np.uint32)), np.array(begins, dtype=np.int64)
 
 
+def _letters(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct characters in order, and each character's number among them."""
+    number = np.zeros(END + 1, dtype=np.int32)
+    number[points] = 1
+    letters = np.flatnonzero(number).astype(np.uint32)
+    number[letters] = np.arange(len(letters), dtype=np.int32)
+    return letters, number[points]
+
+
 def _gram_counts(points: np.ndarray, trained: np.ndarray) -> dict[bytes, int]:
     """Every n-gram of 1 to ORDER characters that ends in a text, with its count where ``trained``."""
-    letters, ids = np.unique(points, return_inverse=True)
-    ids = ids.astype(np.int64)
+    letters, ids = _letters(points)
     size = len(letters)
-    codes = ids.copy()
-    for k in range(1, ORDER):
-        # codes[i]: the k characters before i and i itself, as one number or its rank.
-        if size ** (k + 1) >= 2**62:
-            _, codes = np.unique(codes, return_inverse=True)
-        longer = codes.copy()
-        longer[1:] = codes[:-1] * size + ids[1:]
-        codes = longer
-    ends = np.flatnonzero(points != START)
-    order = ends[np.argsort(codes[ends], kind="stable")]
-    sorted_codes = codes[order]
-    first = np.flatnonzero(np.concatenate([[True], sorted_codes[1:] != sorted_codes[:-1]]))
-    counts = np.add.reduceat(trained[order].astype(np.int64), first)
-    found: Counter[bytes] = Counter()
-    windows = np.lib.stride_tricks.sliding_window_view(points, ORDER)[order[first] - (ORDER - 1)]
-    for gram, n in zip(np.ascontiguousarray(windows), counts.tolist()):
-        whole = gram.tobytes()
+    ends = points[ORDER - 1 :] != START
+    trained = trained[ORDER - 1 :][ends]
+    if size**ORDER < 2**62:
+        # The characters as one number, and below it whether the place counts.
+        codes = np.zeros(len(points) - (ORDER - 1), dtype=np.int64)
         for k in range(ORDER):
-            found[whole[4 * k :]] += n
+            codes *= size
+            codes += ids[k : len(ids) - (ORDER - 1 - k)]
+        codes = codes[ends]
+        codes <<= 1
+        codes |= trained
+        codes.sort()
+        first = np.flatnonzero(np.concatenate([[True], codes[1:] >> 1 != codes[:-1] >> 1]))
+        counts = np.add.reduceat(codes & 1, first)
+        distinct = codes[first] >> 1
+        columns = [distinct // size ** (ORDER - 1 - k) % size for k in range(ORDER)]
+        rows = letters[np.stack(columns, axis=1)]
+    else:
+        windows = np.lib.stride_tricks.sliding_window_view(points, ORDER)[ends]
+        rows, inverse = np.unique(windows, axis=0, return_inverse=True)
+        counts = np.bincount(inverse.ravel(), weights=trained, minlength=len(rows)).astype(np.int64)
+    found: dict[bytes, int] = {}
+    for k in range(ORDER):
+        # The last characters of the distinct n-grams, summed up.
+        part = np.ascontiguousarray(rows[:, k:])
+        names = part.view(np.dtype((np.void, 4 * (ORDER - k)))).ravel()
+        shorter, inverse = np.unique(names, return_inverse=True)
+        sums = np.bincount(inverse.ravel(), weights=counts, minlength=len(shorter)).astype(np.int64)
+        found.update(zip([x.tobytes() for x in shorter], sums.tolist()))
     return found
 
 
@@ -194,9 +212,9 @@ class Automaton:
     def score(self, points: np.ndarray, begins: np.ndarray) -> np.ndarray:
         """Log probability of each text.  Texts go side by side in lanes of LANE characters; a
         lane that begins inside a text first reads the characters its state depends on."""
-        place = np.searchsorted(self.points, points)
-        place[place == len(self.points)] = 0
-        letter = np.where(self.points[place] == points, place, -1) if len(self.points) else np.full(len(points), -1)
+        number = np.full(END + 1, -1, dtype=np.int32)
+        number[self.points] = np.arange(len(self.points), dtype=np.int32)
+        letter = number[points]
         ends = np.append(begins[1:], len(points))
         lanes = [np.arange(b + ORDER - 1, e, LANE) for b, e in zip(begins, ends)]
         text = np.repeat(np.arange(len(begins)), [len(x) for x in lanes])
@@ -219,23 +237,21 @@ class Automaton:
 
 def _score(docs: pa.Table, answers: pa.Table, tokens: int, types: int) -> pa.Table:
     texts = docs.column("text").to_pylist()
-    columns = [answers.column(c).to_pylist() for c in ("key", "total", "context", "types")]
-    words, grams = {}, []
-    for key, total, context, kinds in zip(*columns):
-        if key[:1] == WORD:
-            words[key[1:]] = total
-        else:
-            grams.append((key[1:], total, context, kinds))
-    known = {w for w, c in words.items() if c}
-    logs = {w: log10(c + 1) for w, c in words.items()}
+    keys = answers.column("key").to_pylist()
+    totals = answers.column("total").to_numpy()
+    # 0 exactly for a word that is not known.
+    logs = {k[1:]: x for k, x in zip(keys, np.log10(totals + 1).tolist()) if k[:1] == WORD}
+    rest_of = (answers.column("context").to_pylist(), answers.column("types").to_pylist())
+    grams = [(k[1:], n, c, t) for k, n, c, t in zip(keys, totals.tolist(), *rest_of) if k[:1] == GRAM]
     rest = log10(tokens + types + 1)
     counts, knowns, bases = [], [], []
     for text in texts:
         own = words_of(text)
         own.append(b"")
+        each = [logs[w] for w in own]
         counts.append(len(own))
-        knowns.append(sum([w in known for w in own]))
-        bases.append(sum([logs[w] for w in own]) - len(own) * rest)
+        knowns.append(len(own) - each.count(0.0))
+        bases.append(sum(each) - len(own) * rest)
     automaton = Automaton(grams)
     points, begins = points_of(texts)
     return pa.table(

@@ -87,6 +87,20 @@ def test_lanes_and_many_letters_change_nothing(monkeypatch):
     assert np.allclose(whole, alone)
 
 
+def test_gram_counts_with_few_and_many_letters(monkeypatch):
+    texts = ["abcab", "", "cab", "".join(map(chr, range(0x4E00, 0x4E00 + 900)))]
+    many = ["".join(map(chr, range(0x10000, 0x10000 + 50_000))), "ab"]
+    for own in (texts, many):
+        points, begins = lm.points_of(own)
+        trained = np.repeat([True, True, False, True][: len(own)], np.diff(np.append(begins, len(points))))
+        want = Counter()
+        for i in range(len(points)):
+            if points[i] != lm.START:
+                for k in range(lm.ORDER):
+                    want[points[i - k : i + 1].tobytes()] += int(trained[i])
+        assert lm._gram_counts(points, trained) == want
+
+
 def test_held_out_text_is_likelier_than_its_shuffle(spark):
     """The model knows the order of characters, of texts it has not learned from."""
     prepare(spark)
