@@ -6,7 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata import session
@@ -61,3 +61,16 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[pa
                 start, total = i, 0
             total += n
         yield batch.slice(start)
+
+
+def smallest(df: DataFrame, group: str, order: list[Column], count: int, spread: int = 64) -> DataFrame:
+    """The ``count`` first rows of each group by ``order``, whose first column is a hash.
+
+    Taken first within ``spread`` parts of a group, so that what meets in one
+    task is bounded by ``spread * count`` rows and not by the number of tasks.
+    """
+    part = Window.partitionBy(group, F.pmod(order[0], F.lit(spread))).orderBy(*order)
+    whole = Window.partitionBy(group).orderBy(*order)
+    for window in (part, whole):
+        df = df.withColumn("_at", F.row_number().over(window)).where(F.col("_at") <= count).drop("_at")
+    return df

@@ -23,10 +23,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import or_empty, slices
+from strata.llm.common import or_empty, slices, smallest
 
 LANDMARKS = 24
 TRAINING = 400
@@ -91,8 +91,7 @@ class Model:
 
 
 def _smallest(labelled: DataFrame, per_language: int) -> DataFrame:
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    return labelled.withColumn("_at", F.row_number().over(order)).where(F.col("_at") <= per_language)
+    return smallest(labelled, "lang", [F.xxhash64("doc_id"), F.col("doc_id"), F.xxhash64("text")], per_language)
 
 
 def _with_grams(df: DataFrame) -> DataFrame:

@@ -26,11 +26,11 @@ from dataclasses import dataclass
 from math import log, sqrt
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from strata.llm.common import or_empty, slices
+from strata.llm.common import or_empty, slices, smallest
 
 SAMPLE = 1000
 ALPHA = 0.05
@@ -212,8 +212,7 @@ def credentials(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> di
 
     schema = StructType([StructField("kind", StringType()), StructField("value", StringType())])
     values = rows.mapInArrow(run, schema).groupBy("kind", "value").agg(F.min(F.xxhash64("value")).alias("h"))
-    order = Window.partitionBy("kind").orderBy("h", "value")
-    chosen = values.withColumn("at", F.row_number().over(order)).where(F.col("at") <= sample)
+    chosen = smallest(values, "kind", [F.col("h"), F.col("value")], sample)
     by_kind: dict[str, list[str]] = defaultdict(list)
     for row in chosen.collect():
         by_kind[row.kind].append(row.value)
