@@ -7,7 +7,7 @@ regression per language on those vectors gives the scores.  A batch of texts is
 scored by matrix products.
 
 Landmarks and training rows are bounded samples of the labelled rows given: per
-language the rows with the smallest hash of the id, at most ``LANDMARKS`` and
+language the rows with the smallest hash of id and text, at most ``LANDMARKS`` and
 ``TRAINING`` of them.  The model's size depends on these alone; every row is
 scored where it lies, without a shuffle.
 
@@ -90,8 +90,19 @@ class Model:
         return [self.languages[b] for b in best], chances.max(axis=1) / chances.sum(axis=1)
 
 
-def _smallest(labelled: DataFrame, per_language: int) -> DataFrame:
-    return smallest(labelled, "lang", [F.xxhash64("doc_id"), F.col("doc_id"), F.xxhash64("text")], per_language)
+def _sample_hashes(rows: DataFrame, per_language: int) -> dict[str, list[int]]:
+    """Per language the smallest different hashes of its rows, at most ``per_language``, in order."""
+    hashes = rows.select("lang", "h").distinct()
+    found: dict[str, list[int]] = {}
+    for r in smallest(hashes, "lang", [F.col("h")], per_language).orderBy("lang", "h").collect():
+        found.setdefault(r.lang, []).append(r.h)
+    return found
+
+
+def _up_to(rows: DataFrame, hashes: dict[str, list[int]], count: int) -> DataFrame:
+    """The rows of the first ``count`` hashes of each language; a repeated row once.  No text is shuffled but theirs."""
+    last = F.create_map(*[F.lit(x) for lang, own in hashes.items() for x in (lang, own[:count][-1])])
+    return rows.where(F.col("h") <= F.element_at(last, F.col("lang"))).dropDuplicates(["lang", "h"])
 
 
 def _with_grams(df: DataFrame) -> DataFrame:
@@ -109,10 +120,11 @@ def fit(labelled: DataFrame, landmarks: int = LANDMARKS, training: int = TRAININ
     Of the sample, only landmark n-grams and kernel rows reach the driver.
     """
     rows = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    rows = rows.select("doc_id", "text", "lang")
-    chosen = _with_grams(_smallest(rows, landmarks)).collect()
-    if not chosen:
+    rows = rows.select("text", "lang", F.xxhash64("doc_id", "text").alias("h"))
+    hashes = _sample_hashes(rows, max(landmarks, training))
+    if not hashes:
         return None
+    chosen = _with_grams(_up_to(rows, hashes, landmarks)).collect()
     space = Space.of([np.array(r.codes, dtype=np.int64) for r in chosen])
     shared = labelled.sparkSession.sparkContext.broadcast(space)
 
@@ -125,7 +137,7 @@ def fit(labelled: DataFrame, landmarks: int = LANDMARKS, training: int = TRAININ
                     [batch.column("lang").slice(at, GROUP), pa.array(list(values), pa.list_(pa.float64()))], ["lang", "k"]
                 )
 
-    sample = _with_grams(_smallest(rows, training)).mapInArrow(run, "lang string, k array<double>").collect()
+    sample = _with_grams(_up_to(rows, hashes, training)).mapInArrow(run, "lang string, k array<double>").collect()
     names = sorted({r.lang for r in sample})
     kernel = np.array([r.k for r in sample])
     mutual = space.holds.T @ space.holds / np.sqrt(np.outer(space.sizes, space.sizes))
