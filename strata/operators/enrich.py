@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.operators.rank import rank_within
-from strata.session import stage
 
 UNKNOWN = "Unknown"
 DAY = ["region", "trending_date_parsed"]
@@ -117,15 +116,9 @@ def refreshed(mart: DataFrame, days: DataFrame, rebuilt: DataFrame) -> DataFrame
 def share_of_total(df: DataFrame, by: Sequence[str], measure: str, out: str, digits: int | None = None) -> DataFrame:
     """Percentage of ``measure`` in its group's total; null where that is 0.
 
-    The totals are a separate aggregate joined back, so no group is gathered in
-    one task; the input is staged because both branches read it.
+    ``df`` is an aggregate with one row per category of a group, so a group is
+    small and the total is a window over it.
     """
-    rows = stage(df, "share")
-    totals = rows.groupBy(*by).agg(F.sum(measure).alias("_total")).alias("t")
-    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"t.{c}")) for c in by]
-    share = F.try_divide(F.col(measure).cast("double") * 100.0, F.col("_total"))
-    return (
-        rows.alias("r")
-        .join(totals, same, "left")
-        .select("r.*", (share if digits is None else F.round(share, digits)).alias(out))
-    )
+    total = F.sum(measure).over(Window.partitionBy(*by))
+    share = F.try_divide(F.col(measure).cast("double") * 100.0, total)
+    return df.withColumn(out, share if digits is None else F.round(share, digits))

@@ -145,6 +145,22 @@ def schema_contract(df: DataFrame, table: str, contract: StructType) -> DataFram
     return df.sparkSession.createDataFrame(rows, REPORT)
 
 
+def contract_violations(df: DataFrame, contract: StructType) -> DataFrame:
+    """Per contract column: ``violations``, the rows whose value is absent from
+    ``df``'s columns or is none of the declared type, and ``passed``."""
+    have = set(df.columns)
+    counts = []
+    for f in contract.fields:
+        value = F.col(f"`{f.name}`")
+        bad = F.lit(True) if f.name not in have else value.isNotNull() & value.try_cast(f.dataType).isNull()
+        counts.append(F.count_if(bad).alias(f.name))
+    records = [
+        F.struct(F.lit(f.name).alias("column_name"), F.col(f"`{f.name}`").alias("violations"), (F.col(f"`{f.name}`") == 0).alias("passed"))
+        for f in contract.fields
+    ]
+    return df.agg(*counts).select(F.inline(F.array(*records)))
+
+
 def required_columns(df: DataFrame, table: str, expected: Sequence[str]) -> DataFrame:
     """Failed records for expected columns the table lacks, else one passed."""
     missing = sorted(set(expected) - set(df.columns))
@@ -155,14 +171,18 @@ def required_columns(df: DataFrame, table: str, expected: Sequence[str]) -> Data
 def run_all(
     spark: SparkSession, tables: dict[str, Callable[[], DataFrame]], checks: Callable[[DataFrame, str], DataFrame]
 ) -> DataFrame:
-    """Check several tables; one that cannot be read is a failed record."""
-    report = spark.createDataFrame([], REPORT)
+    """Check several tables; one that cannot be read is a failed record.
+
+    Each table's checks, a row each, run here, so files that break while they are
+    read fail their own table only.
+    """
+    found: list[tuple] = []
     for name, read in tables.items():
         try:
-            report = report.unionByName(checks(read(), name))
+            found += [tuple(r) for r in checks(read(), name).select(REPORT.names).collect()]
         except Exception:  # any reason for not reading counts as this table's failure
-            report = report.unionByName(spark.createDataFrame([_record(name, "read_table", None, False)], REPORT))
-    return report
+            found.append(_record(name, "read_table", None, False))
+    return spark.createDataFrame(found, REPORT)
 
 
 def verdict(report: DataFrame) -> DataFrame:

@@ -7,12 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.session import broadcast_if_small, stage
+from strata.session import stage
 
 # monotonically_increasing_id() holds the partition number above this bit and
 # the row's place in its partition below it.
 PLACE_BITS = 33
-MAX_BROADCAST_ROWS = 100_000
 
 
 def _order(measure: str, tie: str) -> list[Column]:
@@ -50,6 +49,6 @@ def rank_within(df: DataFrame, by: Sequence[str], measure: str, tie: str, out: s
     same.append(F.shiftright("r._at", PLACE_BITS) == F.col("s._part"))
     return (
         rows.alias("r")
-        .join(broadcast_if_small(shifts, MAX_BROADCAST_ROWS).alias("s"), same)
+        .join(shifts.alias("s"), same)
         .select(*[F.col(f"r.{c}") for c in df.columns], (F.col("r._at") + F.col("s._shift")).alias(out))
     )

@@ -39,7 +39,7 @@ class Landing:
 @dataclass
 class RunReport:
     rows: dict[str, int] = field(default_factory=dict)
-    quarantined: list[dict] = field(default_factory=list)
+    quarantined: int = 0
     checks: list[dict] = field(default_factory=list)
     warnings: dict[str, int] = field(default_factory=dict)
 
@@ -95,10 +95,8 @@ class Medallion:
             report.rows["raw_statistics"] = self.raw_statistics.append(batch)
         n_ref = self.raw_reference.append(landing.normalize_reference(ref_docs, run_ts))
         report.rows["raw_reference_data"] = n_ref
-        self.quarantine.replace(bad)
-        report.quarantined = [
-            row.asDict() for row in self.quarantine.read().select("key", "error").limit(100).collect()
-        ]
+        # How many; the table has each one's key, error and content.
+        report.quarantined = self.quarantine.replace(bad)
         if not report.rows.get("raw_statistics") and n_ref == 0 and not self._any_readable(ref_docs, all_docs()):
             raise NothingLanded(f"no readable file under {source.statistics} or {source.reference}")
 
@@ -126,7 +124,7 @@ class Medallion:
         fresh = counted(newer_than(self.read_raw(), mark, inclusive), read).drop("ingest_date")
         noted = Observation()
         curated = warnings(curate_statistics(fresh, strict), noted)
-        written = self.statistics.upsert(curated, CURATED_KEY)
+        written = self.statistics.upsert(curated, CURATED_KEY, ["_ingestion_timestamp"])
         report.warnings = {name: n for name, n in noted.get.items() if n}
         report.rows["curated_statistics"] = written
         report.rows["removed_statistics"] = read.get["rows"] - written

@@ -44,15 +44,15 @@ class OlderMedallion:
         written = self.statistics.replace(warnings(cleaned, noted))
         return {"read": read.get["rows"], "written": written, **noted.get}
 
-    def clean_reference(self, paths: str | Sequence[str], run_ts: str, multi_line: bool = True) -> list[str]:
+    def clean_reference(self, paths: str | Sequence[str], run_ts: str, multi_line: bool = True) -> DataFrame:
         """Flatten category files; regions that occur are replaced, others stay.
 
-        Returns the files without any item, which are errors.
+        Returns all files without any item, which are errors.
         """
         docs = landing.read_documents(self.spark, paths, REFERENCE_DOCUMENT, multi_line)
         flat = landing.flat_reference(docs, run_ts)
         self.reference.overwrite_partitions(legacy.latest_reference(flat, "position").drop("position"))
-        return [row["_source_file"] for row in landing.empty_reference_files(docs).limit(1000).collect()]
+        return landing.empty_reference_files(docs)
 
     def check(self, now: datetime, sample: int | None = None) -> list[dict]:
         """All checks of both clean tables; raises if one fails."""

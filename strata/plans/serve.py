@@ -56,11 +56,21 @@ def query(name: str, marts: Marts) -> DataFrame:
     return QUERIES[name](marts)
 
 
-def rows(df: DataFrame, limit: int = 1000, as_text: bool = False) -> list[dict]:
-    """At most ``limit`` rows for a client; as texts, with '' for null, on request."""
+class TooManyRows(ValueError):
+    """A result is larger than its client can take."""
+
+
+def rows(df: DataFrame, most: int, as_text: bool = False) -> list[dict]:
+    """All rows for a client; as texts, with '' for null, on request.
+
+    ``most`` is what the client can take: a larger result raises, nothing is cut.
+    """
     if as_text:
         df = df.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in df.columns])
-    return [row.asDict() for row in df.limit(limit).collect()]
+    found = df.limit(most + 1).collect()
+    if len(found) > most:
+        raise TooManyRows(f"more than {most} rows")
+    return [row.asDict() for row in found]
 
 
 def region_top(channels: DataFrame, region: str, columns: Sequence[str], n: int = 10) -> DataFrame:
@@ -127,12 +137,14 @@ def extract(name: str, mart: DataFrame) -> DataFrame:
 
 
 def row_counts(spark: SparkSession, tables: Mapping[str, Callable[[], DataFrame]]) -> DataFrame:
-    """Row count per table as text; ``n/a`` for one that cannot be read."""
-    out = spark.createDataFrame([], "table_name string, row_count string")
+    """Row count per table as text; ``n/a`` for one that cannot be read.
+
+    Each table is counted here, so files that break while they are read count too.
+    """
+    found = []
     for name, read in tables.items():
         try:
-            counted = read().agg(F.count(F.lit(1)).cast("string").alias("row_count"))
-            out = out.unionByName(counted.select(F.lit(name).alias("table_name"), "row_count"))
-        except Exception:  # a mart that is not there yet is reported, not raised
-            out = out.unionByName(spark.createDataFrame([(name, "n/a")], out.schema))
-    return out
+            found.append((name, str(read().agg(F.count(F.lit(1))).first()[0])))
+        except Exception:  # a mart that is absent or broken is reported, not raised
+            found.append((name, "n/a"))
+    return spark.createDataFrame(found, "table_name string, row_count string")

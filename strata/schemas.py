@@ -99,33 +99,3 @@ CURATED_STATISTICS = StructType(
 CURATED_REFERENCE = StructType(_strings("id", "category_name", "region", "_ingestion_timestamp", "_source_file"))
 
 CURATED_KEY = ["video_id", "region", "trending_date_parsed"]
-
-TRENDING = StructType(
-    [
-        *_strings("region"),
-        StructField("trending_date_parsed", DateType()),
-        *_longs("total_videos", "total_views", "total_likes", "total_comments"),
-        StructField("avg_engagement_rate", DoubleType()),
-        StructField("avg_like_ratio", DoubleType()),
-    ]
-)
-
-CHANNEL = StructType(
-    [
-        *_strings("channel_title", "region"),
-        *_longs("total_videos", "total_views"),
-        StructField("avg_engagement_rate", DoubleType()),
-        StructField("categories", ArrayType(StringType())),
-        *_longs("rank_in_region"),
-    ]
-)
-
-CATEGORY = StructType(
-    [
-        *_strings("region"),
-        StructField("trending_date_parsed", DateType()),
-        *_strings("category_id", "category_name"),
-        *_longs("total_videos", "total_views"),
-        StructField("view_share_pct", DoubleType()),
-    ]
-)

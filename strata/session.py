@@ -9,7 +9,6 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from strata import files
 
@@ -90,15 +89,3 @@ def staging(spark: SparkSession) -> Iterator[None]:
         _staged.reset(token)
         for path in paths:
             files.delete(spark, path)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """A broadcast of ``df`` when it has at most ``max_rows`` rows, else ``df``.
-
-    For aggregates with few groups as a rule: at most ``max_rows + 1`` rows come
-    to the driver, and a larger one is joined by shuffle.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

@@ -20,15 +20,17 @@ from pyspark.sql.types import StructType
 from strata.functions import columns as C
 from strata.schemas import (
     CORRUPT,
-    RAW_REFERENCE,
     RAW_STATISTICS,
     REFERENCE_DOCUMENT,
     SNAPSHOT_DOCUMENT,
 )
-from strata.session import broadcast_if_small
 
 Paths = str | Sequence[str]
 
+# Older than any landing: a file source forgets, and then never reads, files
+# whose time lies further than this behind the newest one.
+ANY_AGE = "36500d"
+
 
 def iso_now(now: datetime | None = None) -> str:
     now = now or datetime.now(timezone.utc)
@@ -48,10 +50,15 @@ def read_documents(
 ) -> DataFrame:
     """Landed documents with their file.  Files of other names are left out.
 
-    With ``files_per_batch`` the one path is followed as a stream of new files.
+    With ``files_per_batch`` the one path is followed as a stream of new files,
+    whatever the age of a file beside the newest one seen.
     """
     reader = (
-        (spark.readStream.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else spark.read)
+        (
+            spark.readStream.option("maxFilesPerTrigger", files_per_batch).option("maxFileAge", ANY_AGE)
+            if files_per_batch
+            else spark.read
+        )
         .schema(schema)
         .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
@@ -81,7 +88,12 @@ def _region(meta: str = "_pipeline_metadata") -> Column:
 
 
 def _timestamp(run_ts: str, meta: str = "_pipeline_metadata") -> Column:
-    return F.coalesce(F.col(f"{meta}.ingestion_timestamp"), F.lit(run_ts))
+    """The document's time in the one stored form, so that text order is time order.
+
+    A text that is no time is taken as absent: the row then has the run's time.
+    """
+    written = C.utc_iso(F.try_to_timestamp(F.col(f"{meta}.ingestion_timestamp")))
+    return F.coalesce(written, C.utc_iso(F.try_to_timestamp(F.lit(run_ts))), F.lit(run_ts))
 
 
 def normalize_snapshots(docs: DataFrame, run_ts: str) -> DataFrame:
@@ -255,11 +267,13 @@ def land_snapshots(df: DataFrame, path: str, now: datetime) -> None:
     """Write items (columns ``region`` and ``item``) as landed documents.
 
     Each line carries the whole metadata struct; its ``video_count`` is the
-    region's item count, joined from a per-region aggregate.
+    region's item count, joined from a per-region aggregate.  Items without a
+    region land under ``unknown``.
     """
-    items = df.select(C.clean_region(F.col("region")).alias("region"), "item")
+    region = F.coalesce(F.nullif(C.clean_region(F.col("region")), F.lit("")), F.lit("unknown"))
+    items = df.select(region.alias("region"), "item")
     counts = items.groupBy("region").agg(F.count(F.lit(1)).alias("n"))
-    docs = items.join(broadcast_if_small(counts), "region").select(
+    docs = items.join(counts, "region").select(
         "region",
         F.array("item").alias("items"),
         _metadata(now, F.col("n")).alias("_pipeline_metadata"),

@@ -10,7 +10,7 @@ from strata import files
 from strata.operators.clean import curate_statistics
 from strata.operators.incremental import with_ingest_date
 from strata.schemas import CURATED_KEY, RAW_STATISTICS, SNAPSHOT_DOCUMENT
-from strata.sources.landing import normalize_snapshots, quarantine, read_documents
+from strata.sources.landing import ANY_AGE, normalize_snapshots, quarantine, read_documents
 from strata.tables import Table
 
 RAW_LAYOUT = ["region", "ingest_date"]
@@ -75,13 +75,15 @@ def upsert_available(
     """Bring rows newly added to the raw log into the curated table.
 
     A batch that is run again after a failure upserts the same rows again, which
-    changes nothing.
+    changes nothing.  An older row never replaces a newer one, whatever the order
+    in which their files land.
     """
 
     def apply(batch: DataFrame, _: int) -> None:
-        table.upsert(curate_statistics(batch), CURATED_KEY)
+        table.upsert(curate_statistics(batch), CURATED_KEY, ["_ingestion_timestamp"])
 
-    raw = spark.readStream.schema(INGESTED).option("maxFilesPerTrigger", files_per_batch).parquet(raw_path).drop("ingest_date")
+    reader = spark.readStream.schema(INGESTED).option("maxFilesPerTrigger", files_per_batch).option("maxFileAge", ANY_AGE)
+    raw = reader.parquet(raw_path).drop("ingest_date")
     _run_to_end(raw.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint))
 
 

@@ -3,7 +3,8 @@
 A table folder holds one live data folder and a small descriptor file naming it
 with the declared schema and the partition columns.  Reads use the descriptor,
 so they infer nothing, and a column added later reads as null from older files.
-One writer at a time is assumed per table, any number of readers.
+One writer at a time is assumed per table, any number of readers.  Every writer
+first completes an upsert that was interrupted after its merge.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import json
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -112,6 +113,7 @@ class Table:
 
     def append(self, df: DataFrame) -> int:
         """Add rows.  Columns new to the table are added to its schema."""
+        self._apply_pending()
         descriptor = self._descriptor()
         if descriptor is None:
             schema, data = df.schema, SLOTS[0]
@@ -128,6 +130,7 @@ class Table:
 
         Until the descriptor changes, readers and a failed run see the old data.
         """
+        self._apply_pending()
         descriptor = self._descriptor()
         live = descriptor["data"] if descriptor else SLOTS[1]
         idle = SLOTS[1 - SLOTS.index(live)]
@@ -139,6 +142,7 @@ class Table:
 
     def overwrite_partitions(self, df: DataFrame) -> int:
         """Replace exactly the partitions that occur in ``df``."""
+        self._apply_pending()
         descriptor = self._descriptor()
         if descriptor is None:
             return self.replace(df)
@@ -159,9 +163,12 @@ class Table:
 
     # ── upsert ─────────────────────────────────────────────────────────────
 
-    def upsert(self, batch: DataFrame, key: Sequence[str]) -> int:
+    def upsert(self, batch: DataFrame, key: Sequence[str], order: Sequence[str] = ()) -> int:
         """Replace rows whose key occurs in ``batch``, insert the others.
 
+        With ``order`` the row with the greatest values there stays, be it the old
+        or the new one; the new one at equal values.
+
         Only partitions that the batch touches are read and rewritten, so the
         partition columns must be part of the key.  The merged partitions are
         first written beside the table; only then is the live data replaced from
@@ -185,8 +192,16 @@ class Table:
             self._check_key(staged, key)
             schema = evolved(StructType.fromJson(self._descriptor()["schema"]), batch.schema)
             touched = self.read().where(self.partitions_of(staged))
-            kept = touched.join(staged.select(*key), list(key), "left_anti")
-            merged = conform(kept, schema).unionByName(conform(staged, schema))
+            if order:
+                both = conform(touched, schema).withColumn("_new", F.lit(0)).unionByName(
+                    conform(staged, schema).withColumn("_new", F.lit(1))
+                )
+                newest = [*[F.col(c).desc_nulls_last() for c in order], F.col("_new").desc()]
+                place = F.row_number().over(Window.partitionBy(*key).orderBy(*newest))
+                merged = both.withColumn("_place", place).where("_place = 1").drop("_place", "_new")
+            else:
+                kept = touched.join(staged.select(*key), list(key), "left_anti")
+                merged = conform(kept, schema).unionByName(conform(staged, schema))
             self._write(merged, f"{self.path}/{PENDING}", "overwrite", flat=True)
             files.write_text(
                 self.spark, f"{self.path}/{PENDING_DESCRIPTOR}", json.dumps({"schema": schema.jsonValue()})

@@ -104,11 +104,13 @@ def test_serving(stats, lookup):
         "channel_analytics": enrich.channel_analytics(stats, lookup),
         "category_analytics": enrich.category_analytics(stats, lookup),
     }
-    top = serve.rows(serve.query("top_channels", marts))
+    top = serve.rows(serve.query("top_channels", marts), 1000)
     assert [(r["region"], r["channel_title"]) for r in top] == [("gb", "z"), ("us", "a"), ("us", "b")]
-    text = serve.rows(serve.query("top_categories", marts), as_text=True)
+    text = serve.rows(serve.query("top_categories", marts), 1000, as_text=True)
     assert text[-1]["view_share_pct"] == "" and text[0]["total_views"] == "400"
-    assert serve.rows(serve.query("trending_summary", marts).where("false")) == []
+    assert serve.rows(serve.query("trending_summary", marts).where("false"), 1000) == []
+    with pytest.raises(serve.TooManyRows):
+        serve.rows(spark.range(3), 2)
     with pytest.raises(serve.UnknownQuery):
         serve.query("drop_tables", marts)
     assert "categories" not in serve.extract("channel_analytics", marts["channel_analytics"]).columns

@@ -30,7 +30,8 @@ def jobs(spark, tmp_path):
 @pytest.mark.parametrize("rescan", [False, True])
 def test_run_twice_changes_nothing_then_new_data_arrives(spark, tmp_path, source, jobs, rescan):
     report = jobs.run(source, NOW, rescan=rescan)
-    assert [q["key"].rsplit("/", 1)[1] for q in report.quarantined] == ["broken.json"]
+    assert report.quarantined == 1
+    assert [q["key"].rsplit("/", 1)[1] for q in jobs.quarantine.read().collect()] == ["broken.json"]
     assert report.rows["curated_statistics"] == 12 and report.rows["channel_analytics"] == 1
     curated = sorted(jobs.statistics.read().collect())
     marts = {name: sorted(df.collect()) for name, df in jobs.read_marts().items()}
@@ -73,7 +74,7 @@ def test_older_jobs(spark, tmp_path, source):
     assert jobs.build_gold(NOW)["trending_analytics"] == 2
     assert spark.table("gold_old.channel_analytics").select("categories").first()[0] == ["Unknown"]
     write_json(tmp_path / "ref/region=gb/none.json", {"items": []})
-    assert [f.rsplit("/", 1)[1] for f in jobs.clean_reference(source.reference, "2024-01-05T00:00:00")] == ["none.json"]
+    assert [f["_source_file"].rsplit("/", 1)[1] for f in jobs.clean_reference(source.reference, "2024-01-05T00:00:00").collect()] == ["none.json"]
     jobs.build_gold(NOW)
     assert spark.table("gold_old.channel_analytics").select("categories").first()[0] == ["Music"]
     with pytest.raises(QualityError) as caught:

@@ -22,22 +22,6 @@ def test_staging_cleans_up_after_an_error(spark):
     assert not files.exists(spark, path)
 
 
-def test_broadcast_only_when_small(spark):
-    left = spark.range(100).withColumn("k", F.col("id") % 7)
-    right = spark.range(7).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        results = []
-        for limit, wanted in [(7, "BroadcastHashJoin"), (6, "SortMergeJoin")]:
-            joined = left.join(session.broadcast_if_small(right, limit), "k")
-            assert wanted in joined._jdf.queryExecution().executedPlan().toString()
-            results.append(sorted(joined.collect()))
-        assert results[0] == results[1] and len(results[0]) == 100
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
-
-
 def test_scratch_is_in_the_named_folder(spark):
     named = spark.conf.get("spark.checkpoint.dir")
     assert session.scratch_path(spark, "a").startswith(named)

@@ -121,10 +121,10 @@ def part_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nation key to region name.  25 rows at every scale, so always broadcast."""
+    """Nation key to region name."""
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    joined = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
-    return F.broadcast(joined.select("n_nationkey", "r_name"))
+    joined = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    return joined.select("n_nationkey", "r_name")
 
 
 def customer_reference(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -324,13 +324,17 @@ checks as (
 )
 select bool_and(ok) as quality_passed, count(*) filter (where ok) as checks_passed, count(*) as checks_total
 from checks"""
-ORACLES["contract_report"] = f"""with {EVENTS}
-select 'video_id' as column_name, count(video_id) >= 0 as passed from raw
-union all
-select name, name not in ('trending_date_parsed', 'like_ratio', 'engagement_rate')
-from (select unnest(['title', 'channel_title', 'category_id', 'publish_time', 'region', 'source',
+ORACLES["contract_report"] = f"""with {EVENTS},
+n as (select count(*) as total, count(*) filter (where k % 10 = 0) as bad from ev),
+names as (select unnest(['video_id', 'title', 'channel_title', 'category_id', 'publish_time', 'region', 'source',
   'trending_date_parsed', 'tags', 'views', 'likes', 'dislikes', 'comment_count', 'description', 'like_ratio',
-  'engagement_rate', '_ingestion_timestamp', '_source_file']) as name)"""
+  'engagement_rate', '_ingestion_timestamp', '_source_file']) as column_name),
+counted as (
+  select column_name, case when column_name in ('trending_date_parsed', 'like_ratio', 'engagement_rate') then total
+    when column_name = 'views' then bad else 0 end as violations
+  from names, n
+)
+select column_name, violations, violations = 0 as passed from counted"""
 ORACLES["legacy_quality"] = f"""with {LEGACY},
 n as (select count(*) as n from old)
 select 'row_count' as check_name, cast(null as varchar) as column_name, cast(n as double) as value, n >= 10 as passed
@@ -476,3 +480,9 @@ ORACLES["region_scan"] = f"""with ref as (
   qualify row_number() over (partition by c_custkey % 40, r_name order by c_custkey desc) = 1
 )
 select * from ref where region in ('asia', 'europe')"""
+
+ORACLES["upsert_out_of_order"] = ORACLES["streamed_upsert"]
+ORACLES["land_null_region"] = """
+select case when event_id % 3 <> 0 then event_type else 'unknown' end as region, count(*) as n,
+  cast(sum(cast(json_extract(props, '$.k') as bigint)) as bigint) as views
+from events group by 1"""

@@ -292,10 +292,12 @@ def quality_verdict(spark, d):
 
 @query
 def contract_report(spark, d):
-    """Contract columns of the raw log: some lack, ``views`` and others agree."""
-    return quality.schema_contract(base.events_raw(spark, d), "raw", CURATED_STATISTICS).select(
-        "column_name", "passed"
-    )
+    """A table written with columns missing and texts among its views: violations per contract column."""
+    views = F.col("views")
+    raw = base.events_raw(spark, d).withColumn("views", F.when(views % 10 == 0, "n/a").otherwise(views.cast("string")))
+    table = Table(spark, scratch_path(spark, "contract"))
+    table.replace(raw)
+    return quality.contract_violations(table.read(), CURATED_STATISTICS)
 
 
 @query
@@ -476,13 +478,11 @@ def bad_lines(spark, d):
     return rows.unionByName(bad)
 
 
-@query
-def streamed_upsert(spark, d):
-    """Per-user totals landed in two waves; the later wave replaces the earlier."""
+def _two_waves(spark, d, times):
     root = scratch_path(spark, "streamed")
     events = base.table(spark, d, "events")
     table = Table(spark, f"{root}/table", ["region", "trending_date_parsed"])
-    for half, now in enumerate((NOW, LATER)):
+    for half, now in times:
         totals = (
             events.where(F.col("event_id") % 2 == half)
             .groupBy("user_id", F.col("event_type").alias("region"))
@@ -500,6 +500,30 @@ def streamed_upsert(spark, d):
     return table.read().select("video_id", "region", "trending_date_parsed", "views", "_ingestion_timestamp")
 
 
+@query
+def streamed_upsert(spark, d):
+    """Per-user totals landed in two waves; the later wave replaces the earlier."""
+    return _two_waves(spark, d, [(0, NOW), (1, LATER)])
+
+
+@query
+def upsert_out_of_order(spark, d):
+    """The same waves with the older one landing last: it replaces nothing newer."""
+    return _two_waves(spark, d, [(1, LATER), (0, NOW)])
+
+
+@query
+def land_null_region(spark, d):
+    """Items of which some have no region: all land, those under ``unknown``."""
+    path = scratch_path(spark, "regions")
+    items = base.snapshot_items(spark, d)
+    region = F.when(F.col("event_id") % 3 != 0, F.col("region"))
+    landing.land_snapshots(items.select(region.alias("region"), "item"), path, NOW)
+    docs = landing.read_documents(spark, path, SNAPSHOT_DOCUMENT, multi_line=False)
+    raw = landing.normalize_snapshots(docs, "")
+    return raw.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.sum("views").alias("views"))
+
+
 @query
 def whole_run(spark, d):
     """Landing to marts in one run, with its checks; the channel mart.
