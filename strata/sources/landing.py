@@ -90,10 +90,10 @@ def _region(meta: str = "_pipeline_metadata") -> Column:
 def _timestamp(run_ts: str, meta: str = "_pipeline_metadata") -> Column:
     """The document's time in the one stored form, so that text order is time order.
 
-    A text that is no time is taken as absent: the row then has the run's time.
+    A text that is no time stays as it is; an absent one is the run's time.
     """
     written = C.utc_iso(F.try_to_timestamp(F.col(f"{meta}.ingestion_timestamp")))
-    return F.coalesce(written, C.utc_iso(F.try_to_timestamp(F.lit(run_ts))), F.lit(run_ts))
+    return F.coalesce(written, F.col(f"{meta}.ingestion_timestamp"), F.lit(run_ts))
 
 
 def normalize_snapshots(docs: DataFrame, run_ts: str) -> DataFrame:

@@ -69,10 +69,9 @@ def test_mart_totals_agree(stats, lookup):
     assert by_channel == by_category == by_day == 800
 
 
-@pytest.mark.parametrize("partitions,adaptive,broadcast", [(1, True, 99), (7, False, 99), (40, False, 99), (40, False, 3)])
-def test_spread_rank_equals_window_rank(spark, monkeypatch, partitions, adaptive, broadcast):
+@pytest.mark.parametrize("partitions,adaptive", [(1, True), (7, False), (40, False)])
+def test_spread_rank_equals_window_rank(spark, partitions, adaptive):
     """A hot group of two thirds of the rows, half of the measures tied, some null."""
-    monkeypatch.setattr(rank, "MAX_BROADCAST_ROWS", broadcast)
     saved = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
     spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
     spark.conf.set("spark.sql.adaptive.enabled", str(adaptive).lower())
@@ -98,7 +97,7 @@ def _compare_rank(spark):
     assert as_set(top, "g", "t", "r") == {x for x in want if x[2] <= 5}
 
 
-def test_serving(stats, lookup):
+def test_serving(spark, stats, lookup):
     marts = {
         "trending_analytics": enrich.trending_analytics(stats),
         "channel_analytics": enrich.channel_analytics(stats, lookup),

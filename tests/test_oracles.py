@@ -1,9 +1,13 @@
-"""Every registered query against its SQL on the smallest tables."""
+"""Every query of the layered library against its SQL on the smallest tables.
+
+The training-data queries have tests of their own.
+"""
 
 import compare
 import pytest
 
 import __spark_entry__ as entry_module
+from workload.queries import REGISTRY
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,7 +17,7 @@ def con():
     return compare.connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query_matches_sql(spark, con, name):
     df = entry_module.queries()[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -23,7 +27,7 @@ def test_query_matches_sql(spark, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(REGISTRY) <= set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
 def test_entry_returns_rows(spark):
