@@ -45,13 +45,19 @@ def test_verdicts_agree_with_labels(spark):
     assert sum(r.kept for r in bad) <= 0.1 * len(bad)
 
 
-def test_fit_finds_a_rule_that_lies(spark):
-    """EM lowers the rate of a rule that votes against all others."""
+@pytest.mark.xfail(reason="open: EM puts the documents such a rule names in the bad kind instead of lowering the rule", strict=True)
+def test_fit_finds_a_rule_that_votes_at_random(spark):
+    """A rule that calls every third document bad, whatever its kind, loses its weight and no verdict."""
     df = quality_rules.features(cases.driver_docs(spark))
-    flipped = df.withColumn("n_bangs", F.when(F.col("n_bangs") == 0, F.col("n_words")).otherwise(0))
-    model = quality_rules.fit(flipped)
-    assert model.on_good["bangs"][1] > 0.9 > model.on_bad["bangs"][1]
-    assert model.on_good["symbols"][1] < 0.1 < model.on_bad["symbols"][1]
+    honest = quality_rules.fit(df)
+    noisy = df.withColumn("n_bangs", F.when(F.col("doc_id") % 3 == 0, F.col("n_words")).otherwise(F.col("n_bangs")))
+    model = quality_rules.fit(noisy)
+    weight = lambda m: m.on_bad["bangs"][1] / m.on_good["bangs"][1]
+    assert model.on_good["bangs"][1] > 0.1 > honest.on_good["bangs"][1]
+    assert weight(model) < weight(honest) / 3
+    kept = {r.doc_id for r in quality_rules.judge(df, honest).where("kept").collect()}
+    still = {r.doc_id for r in quality_rules.judge(noisy, model).where("kept").collect()}
+    assert len(kept & still) >= 0.98 * len(kept)
 
 
 def test_keep_good_keeps_columns_and_rows(spark):
