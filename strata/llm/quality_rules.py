@@ -3,13 +3,15 @@
 ``features`` counts what the rules look at, ``RULES`` turn the counts into votes
 (1 good, -1 bad, 0 abstain), ``fit`` estimates by expectation-maximisation how
 often each rule votes which way on good and on bad documents, and ``quality`` is the
-posterior probability of a good document.  Everything is a column expression;
+posterior probability of a good document.  EM starts from the majority of the
+votes, so that a rule is first judged by how it goes with the others, and takes
+abstaining for the third outcome of a rule.  Everything is a column expression;
 EM runs on the counts of vote patterns, of which there are at most 3 to the
 number of rules, and only its parameters are seen by the driver.
 
 A null text has no words.  A text with fewer than three words has no windows.
-Repeated rows count each for itself.  On an empty table the starting parameters
-remain.  Other columns are passed through by ``judge`` and ignored by ``features``.
+Repeated rows count each for itself.  On an empty table the expected parameters
+(START) remain.  Other columns are passed through by ``judge`` and ignored by ``features``.
 """
 
 from __future__ import annotations
@@ -140,36 +142,40 @@ START = Model(
     {n: (0.8, 0.02) if n in _PROSE else (0.0, 0.02) for n in RULES},
     {n: (0.3, 0.4) if n in _PROSE else (0.0, 0.4) for n in RULES},
 )
-# The starting chances weigh as much as these shares of all documents, so that no
-# solution is reached in which the rules err more often than they are right.
-GOOD_SHARE, BAD_SHARE = 0.5, 0.1
+# The expected chances weigh as much as this share of all documents in either kind.
+SHARE = 0.1
+# The chance of a good document that EM starts from where the votes for it, or against it, are more.
+MAJORITY = 0.99
 
 
 def _chances(pair: tuple[float, float]) -> dict[int, float]:
     good, bad = pair
-    return {1: max(good, 1e-3), -1: max(bad, 1e-3)}
+    return {vote: max(p, 1e-3) for vote, p in ((1, good), (-1, bad), (0, 1 - good - bad))}
 
 
 def posterior(model: Model, votes) -> Column:
-    """Probability of a good document; ``votes`` gives a rule's vote column by name.
-
-    A rule that abstains says nothing about the document.
-    """
+    """Probability of a good document; ``votes`` gives a rule's vote column by name."""
     terms = [F.lit(log(model.prior / (1 - model.prior)))]
     for name in RULES:
         on_good, on_bad = _chances(model.on_good[name]), _chances(model.on_bad[name])
-        ratio = {v: log(on_good[v] / on_bad[v]) for v in (1, -1)}
-        terms.append(F.when(votes(name) > 0, ratio[1]).when(votes(name) < 0, ratio[-1]).otherwise(0.0))
+        ratio = {v: log(on_good[v] / on_bad[v]) for v in (1, -1, 0)}
+        terms.append(F.when(votes(name) > 0, ratio[1]).when(votes(name) < 0, ratio[-1]).otherwise(ratio[0]))
     return 1 / (1 + F.exp(-reduce(lambda a, b: a + b, terms)))
 
 
+def majority(votes) -> Column:
+    """Probability of a good document by the number of votes alone."""
+    total = reduce(lambda a, b: a + b, [votes(name).cast("int") for name in RULES])
+    return F.when(total > 0, MAJORITY).when(total < 0, 1 - MAJORITY).otherwise(START.prior)
+
+
 def fit(counts: DataFrame, rounds: int = 30, tolerance: float = 1e-3) -> Model:
     """Parameters estimated from the votes on all rows of ``counts``."""
     votes = counts.select(*[v.cast("tinyint").alias(n) for n, v in rules(F.col).items()])
     patterns = stage(votes.groupBy(*RULES).agg(F.count(F.lit(1)).alias("n")), "votes").coalesce(1)
-    model = START
+    model, quality = START, majority(F.col)
     for _ in range(rounds):
-        good = F.col("n") * posterior(model, F.col)
+        good = F.col("n") * quality
         weights = {"good": good, "bad": F.col("n") - good}
         sums = (
             patterns.agg(
@@ -189,7 +195,7 @@ def fit(counts: DataFrame, rounds: int = 30, tolerance: float = 1e-3) -> Model:
             return model
 
         def chances(kind: str, name: str, start: tuple[float, float]) -> tuple[float, float]:
-            weight = rows * (GOOD_SHARE if kind == "good" else BAD_SHARE)
+            weight = rows * SHARE
             return tuple((sums[f"{kind}_{name}_{v}"] + weight * p) / (sums[kind] + weight) for v, p in zip((1, -1), start))
 
         new = Model(
@@ -199,7 +205,7 @@ def fit(counts: DataFrame, rounds: int = 30, tolerance: float = 1e-3) -> Model:
         )
         pairs = [(new.on_good, model.on_good), (new.on_bad, model.on_bad)]
         moved = max(abs(x - y) for a, b in pairs for n in RULES for x, y in zip(a[n], b[n]))
-        model = new
+        model, quality = new, posterior(new, F.col)
         if moved < tolerance:
             break
     return model
@@ -217,7 +223,10 @@ def verdict(model: Model, c, threshold: float = 0.5) -> tuple[Column, Column]:
 
 
 def judge(counts: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """``counts`` with ``base_failed``, ``kept`` and ``quality``."""
+    """``counts`` with ``base_failed``, ``kept`` and ``quality``.
+
+    Give stored counts: a filter on ``kept`` would repeat the expressions of those yet to be worked out.
+    """
     quality, kept = verdict(model, F.col, threshold)
     return counts.select("*", base_failed(F.col).alias("base_failed"), kept.alias("kept"), quality.alias("quality"))
 

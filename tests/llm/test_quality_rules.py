@@ -5,6 +5,7 @@ import cases
 import pytest
 from pyspark.sql import functions as F
 from strata.llm import quality_rules, queries
+from strata.llm.common import stage
 
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
 
@@ -45,10 +46,9 @@ def test_verdicts_agree_with_labels(spark):
     assert sum(r.kept for r in bad) <= 0.1 * len(bad)
 
 
-@pytest.mark.xfail(reason="open: EM puts the documents such a rule names in the bad kind instead of lowering the rule", strict=True)
 def test_fit_finds_a_rule_that_votes_at_random(spark):
     """A rule that calls every third document bad, whatever its kind, loses its weight and no verdict."""
-    df = quality_rules.features(cases.driver_docs(spark))
+    df = stage(quality_rules.features(cases.driver_docs(spark)), "counts")
     honest = quality_rules.fit(df)
     noisy = df.withColumn("n_bangs", F.when(F.col("doc_id") % 3 == 0, F.col("n_words")).otherwise(F.col("n_bangs")))
     model = quality_rules.fit(noisy)
