@@ -9,6 +9,12 @@ abstaining for the third outcome of a rule.  Everything is a column expression;
 EM runs on the counts of vote patterns, of which there are at most 3 to the
 number of rules, and only its parameters are seen by the driver.
 
+Rules of words and sentences know every script: words may have combining marks,
+and sentences end with the marks of any script.  Scripts that put no spaces
+between words have no words to count, so on a text of them the rules that count
+words abstain.  A document that passes the base tests goes only if some rule
+votes against it.
+
 A null text has no words.  A text with fewer than three words has no windows.
 Repeated rows count each for itself.  On an empty table the expected parameters
 (START) remain.  Other columns are passed through by ``judge`` and ignored by ``features``.
@@ -28,12 +34,30 @@ from strata.llm.common import or_empty, stage
 SPACE = r"[\x20\x09-\x0D]+"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
-# A word of letters, with the punctuation of prose around it at most.
-PROSE = r"(?<![^\x20\x09-\x0D])[\"'(]?\p{L}[\p{L}'-]*+[.,;:?!)\"']{0,2}(?![^\x20\x09-\x0D])"
+# Marks that end a sentence before white space (Unicode's Sentence_Terminal), and those that need none after them.
+ENDS = (
+    r".?!\u0589\u061D-\u061F\u06D4\u0700-\u0702\u07F9\u0837\u0839\u083D\u083E\u0964\u0965\u104A\u104B\u1362\u1367\u1368\u166E"
+    r"\u1735\u1736\u17D4\u17D5\u1803\u1809\u1944\u1945\u1AA8-\u1AAB\u1B5A\u1B5B\u1B5E\u1B5F\u1C3B\u1C3C\u1C7E\u1C7F\u203C\u203D\u2047-\u2049"
+    r"\u2026\u2E2E\u2E3C\uA4FF\uA60E\uA60F\uA6F3\uA6F7\uA876\uA877\uA8CE\uA8CF\uA92F\uA9C8\uA9C9\uAA5D-\uAA5F\uAAF0\uAAF1\uABEB\uFE52\uFE56\uFE57"
+)
+WIDE_ENDS = r"\u3002\uFF01\uFF0E\uFF1F\uFF61"
+CLOSING = r"\"')\p{Pe}\p{Pf}"
+END = rf"[{ENDS}][{CLOSING}]*+(?=[\x20\x09-\x0D]|$)|[{WIDE_ENDS}]"
+# A word of letters, with the punctuation of prose around it at most.  Inside: marks, joiners, apostrophes and hyphens.
+PROSE = (
+    rf"(?<![^\x20\x09-\x0D])[\"'(\p{{Ps}}\p{{Pi}}\u00A1\u00BF]?\p{{L}}[\p{{L}}\p{{M}}'\u2019\u00B7\u05F3\u05F4\u200C\u200D\p{{Pd}}]*+"
+    rf"[{ENDS}{WIDE_ENDS},;:\u055D\u060C\u061B\u1363-\u1366{CLOSING}]{{0,2}}(?![^\x20\x09-\x0D])"
+)
+# Letters of the scripts without spaces between words: Thai, Lao, Tibetan, Myanmar, Khmer, Tai, Balinese, Javanese, kana, Han.
+UNSPACED = (
+    r"[\u0E00-\u0FFF\u1000-\u109F\u1780-\u17FF\u1950-\u19FF\u1A20-\u1AAF\u1B00-\u1B7F\u3040-\u30FF\u31F0-\u31FF\u3400-\u4DBF"
+    r"\u4E00-\u9FFF\uA980-\uA9FF\uAA60-\uAADF\uF900-\uFAFF\uFF66-\uFF9D\x{20000}-\x{3FFFF}]"
+)
 
 COUNTS = [
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
     "n_lines", "n_upper", "n_distinct_words", "n_ends", "n_prose", "n_bangs",
+    "n_unspaced",
 ]
 
 # The names of ``rules``.
@@ -84,9 +108,11 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
             long(F.size("_lines")).alias("n_lines"),
             long(F.regexp_count(body, F.lit(r"\p{Lu}"))).alias("n_upper"),
             long(F.size(F.array_distinct("_words"))).alias("n_distinct_words"),
-            long(F.regexp_count(body, F.lit(r"[.?!](?=[\x20\x09-\x0D]|$)"))).alias("n_ends"),
+            long(F.regexp_count(body, F.lit(END))).alias("n_ends"),
             long(F.regexp_count(body, F.lit(PROSE))).alias("n_prose"),
             long(F.regexp_count(body, F.lit("!!"))).alias("n_bangs"),
+            # A text of ASCII has none.
+            long(F.when(F.octet_length(body) == F.length(body), 0).otherwise(F.regexp_count(body, F.lit(UNSPACED)))).alias("n_unspaced"),
         ),
     ).drop("_words", "_lines", "_windows", "_sorted")
 
@@ -112,14 +138,15 @@ def rules(c) -> dict[str, Column]:
     per_word = lambda name: c(name) / words
     spread = c("n_distinct_words") / F.sqrt(words)
     mean = c("word_chars") / words
-    many = c("n_words") >= 20
+    spaced = c("n_unspaced") <= 0.3 * c("word_chars")
+    many = spaced & (c("n_words") >= 20)
     return {
-        "length": _three(None, c("n_words") < 30),
+        "length": _three(None, spaced & (c("n_words") < 30)),
         "symbols": _three(None, per_word("n_symbols") > 0.2),
         "upper": _three(None, c("n_upper") > 0.5 * c("word_chars")),
         "dup_lines": _three(None, c("n_dup_lines") > 0.4 * c("n_lines")),
         "repeats": _three(None, per_word("n_repeat_words") > 0.4),
-        "word_length": _three(None, (mean < 2) | (mean > 20)),
+        "word_length": _three(None, spaced & ((mean < 2) | (mean > 20))),
         "variety": _three(None, many & (spread < 1.5)),
         "sentences": _three(many & (per_word("n_ends") > 0.01) & (per_word("n_ends") < 0.4), many & (c("n_ends") == 0)),
         "prose": _three(many & (per_word("n_prose") > 0.85), many & (per_word("n_prose") < 0.6)),
@@ -216,10 +243,14 @@ def base_failed(c) -> Column:
 
 
 def verdict(model: Model, c, threshold: float = 0.5) -> tuple[Column, Column]:
-    """Posterior and decision; ``c`` gives a count's column by name."""
+    """Posterior and decision; ``c`` gives a count's column by name.
+
+    Where no rule votes against a document, too few good votes are no reason to drop it.
+    """
     votes = rules(c)
     quality = posterior(model, votes.__getitem__)
-    return quality, ~base_failed(c) & (quality >= threshold)
+    unopposed = reduce(lambda a, b: a & b, [votes[name] >= 0 for name in RULES])
+    return quality, ~base_failed(c) & (unopposed | (quality >= threshold))
 
 
 def judge(counts: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:

@@ -1,4 +1,6 @@
+import random
 import re
+import unicodedata
 from collections import Counter
 
 import cases
@@ -76,3 +78,28 @@ def test_empty_table_and_no_python(spark):
     assert quality_rules.keep_good(empty).collect() == []
     plan = quality_rules.keep_good(cases.driver_docs(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+WORDS = {
+    "hindi": ("यह एक साफ़ सुंदर दिन और हम सब मिलकर गाँव की नदी के किनारे टहलने जाते हैं लोग बहुत अच्छे", "।"),
+    "arabic": ("هَلْ تَعْرِفُ المَدِينَةَ القَدِيمَةَ زُرْنَاهَا في الصَّيْفِ نَعَمْ أَعْرِفُهَا جَيِّدًا وأُحِبُّ شَوَارِعَهَا", "؟"),
+    "accents": (unicodedata.normalize("NFD", "été élèves étaient très fatigués après fête école où été déjà là"), "."),
+    "thai": ("วันนี้ อากาศ ดีมาก และ พวกเรา ทุกคน ไป เดินเล่น ริม แม่น้ำ หมู่บ้าน เงียบสงบ ผู้คน ใจดี ยิ้มแย้ม เสมอ", ""),
+    "chinese": ("今天 天气 很好 我们 河边 散步 村子 很安静 人们 都很 友好 孩子们 院子里 玩耍", "。"),
+    # No good vote and no bad one: three words of four are prose, and sentences are longer than 100 words.
+    "figures": ("section of act 12 court held on page 77 claim for days under rule 41(b) may stand so long as no 3.5", ""),
+}
+
+
+def test_clean_texts_stay_in_every_script_and_without_a_good_vote(spark):
+    draw = random.Random(4)
+    word = lambda n: "".join(draw.choices(WORDS[n][0].split(), k=8 if n in ("thai", "chinese") else 1))
+    sentence = lambda n: " ".join(word(n) for _ in range(12)) + WORDS[n][1]
+    clean = [" ".join(sentence(n) for _ in range(14)) + " end." * (not WORDS[n][1]) for n in WORDS]
+    junk = ["#$% &*| <<>> x9 " * 30, "CLICK HERE NOW " * 40, "x9 7q #1 @@ 4k " * 30]
+    docs = cases.driver_docs(spark).unionByName(cases.docs(spark, clean + junk, -100))
+    df = stage(quality_rules.features(docs), "counts")
+    rows = {r.doc_id: r for r in quality_rules.judge(df, quality_rules.fit(df)).where("doc_id < 0").collect()}
+    assert not any(rows[i - 100].base_failed for i in range(len(clean)))
+    assert [name for i, name in enumerate(WORDS) if not rows[i - 100].kept] == []
+    assert not any(rows[i - 100].kept for i in range(len(clean), len(clean + junk)))
