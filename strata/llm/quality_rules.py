@@ -34,24 +34,33 @@ from strata.llm.common import or_empty, stage
 SPACE = r"[\x20\x09-\x0D]+"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
-# Marks that end a sentence before white space (Unicode's Sentence_Terminal), and those that need none after them.
+# Marks that end a sentence before white space (Unicode's Sentence_Terminal), beyond ASCII, and those that need none after
+# them.  Classes test the range first, so that a letter of a common script passes one comparison and not all marks.
 ENDS = (
-    r".?!\u0589\u061D-\u061F\u06D4\u0700-\u0702\u07F9\u0837\u0839\u083D\u083E\u0964\u0965\u104A\u104B\u1362\u1367\u1368\u166E"
-    r"\u1735\u1736\u17D4\u17D5\u1803\u1809\u1944\u1945\u1AA8-\u1AAB\u1B5A\u1B5B\u1B5E\u1B5F\u1C3B\u1C3C\u1C7E\u1C7F\u203C\u203D\u2047-\u2049"
-    r"\u2026\u2E2E\u2E3C\uA4FF\uA60E\uA60F\uA6F3\uA6F7\uA876\uA877\uA8CE\uA8CF\uA92F\uA9C8\uA9C9\uAA5D-\uAA5F\uAAF0\uAAF1\uABEB\uFE52\uFE56\uFE57"
+    r"։؝-؟۔܀-܂߹࠷࠹࠽࠾।॥၊။።፧፨᙮"
+    r"᜵᜶។៕᠃᠉᥄᥅᪨-᪫᭚᭛᭞᭟᰻᰼᱾᱿‼‽⁇-⁉"
+    r"…⸮⸼꓿꘎꘏꛳꛷꡶꡷꣎꣏꤯꧈꧉꩝-꩟꫰꫱꯫﹒﹖﹗"
 )
-WIDE_ENDS = r"\u3002\uFF01\uFF0E\uFF1F\uFF61"
-CLOSING = r"\"')\p{Pe}\p{Pf}"
-END = rf"[{ENDS}][{CLOSING}]*+(?=[\x20\x09-\x0D]|$)|[{WIDE_ENDS}]"
+WIDE_ENDS = r"。！．？｡"
+
+
+def _beyond(ascii_signs: str, others: str) -> str:
+    """A class of ASCII signs, and of others from U+00A0 on."""
+    return rf"[{ascii_signs}[ -￿&&[{others}]]]"
+
+
+CLOSING = _beyond(r"\"')\]}", r"\p{Pe}\p{Pf}")
+END = rf"(?:[.?!]|[։-﹗&&[{ENDS}]]){CLOSING}*+(?=[\x20\x09-\x0D]|$)|[。-｡&&[{WIDE_ENDS}]]"
 # A word of letters, with the punctuation of prose around it at most.  Inside: marks, joiners, apostrophes and hyphens.
 PROSE = (
-    rf"(?<![^\x20\x09-\x0D])[\"'(\p{{Ps}}\p{{Pi}}\u00A1\u00BF]?\p{{L}}[\p{{L}}\p{{M}}'\u2019\u00B7\u05F3\u05F4\u200C\u200D\p{{Pd}}]*+"
-    rf"[{ENDS}{WIDE_ENDS},;:\u055D\u060C\u061B\u1363-\u1366{CLOSING}]{{0,2}}(?![^\x20\x09-\x0D])"
-)
+    r"(?<![^\x20\x09-\x0D])" + _beyond(r"\"'(\[{", r"\p{Ps}\p{Pi}¡¿") + r"?\p{L}"
+    + _beyond(r"\p{L}'-", r"\p{M}’·׳״‌‍\p{Pd}") + "*+"
+    + _beyond(r".,;:?!)\]}\"'", rf"{ENDS}{WIDE_ENDS}՝،؛፣-፦\p{{Pe}}\p{{Pf}}") + r"{0,2}(?![^\x20\x09-\x0D])"
+)
 # Letters of the scripts without spaces between words: Thai, Lao, Tibetan, Myanmar, Khmer, Tai, Balinese, Javanese, kana, Han.
 UNSPACED = (
-    r"[\u0E00-\u0FFF\u1000-\u109F\u1780-\u17FF\u1950-\u19FF\u1A20-\u1AAF\u1B00-\u1B7F\u3040-\u30FF\u31F0-\u31FF\u3400-\u4DBF"
-    r"\u4E00-\u9FFF\uA980-\uA9FF\uAA60-\uAADF\uF900-\uFAFF\uFF66-\uFF9D\x{20000}-\x{3FFFF}]"
+    r"[฀-\x{3FFFF}&&[฀-࿿က-႟ក-៿ᥐ-᧿ᨠ-᪯ᬀ-᭿぀-ヿㇰ-ㇿ"
+    r"㐀-䶿一-鿿ꦀ-꧿ꩠ-꫟豈-﫿ｦ-ﾝ\x{20000}-\x{3FFFF}]]"
 )
 
 COUNTS = [
