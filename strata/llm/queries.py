@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, chat, decontaminate, jaccard_join, language_model, languages, licenses, personal_data, quality_rules, secrets
+from strata.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    filter_audit,
+    jaccard_join,
+    language_model,
+    languages,
+    licenses,
+    personal_data,
+    quality_rules,
+    secrets,
+    spelling,
+    token_counts,
+)
 from strata.llm.common import prepare, stage, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -163,6 +177,27 @@ def op10_secrets(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+TOKEN_LIMIT = 512
+
+
+@query
+def op11_token_counts(spark: SparkSession, d: str) -> DataFrame:
+    counted = token_counts.count_tokens(table(spark, d, "documents"), vocabulary_path())
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+@query
+def op12_spelling(spark: SparkSession, d: str) -> DataFrame:
+    words = spelling.count_words(table(spark, d, "documents"), drop_one_in=199)
+    return spelling.group(stage(words, "words"))
+
+
+@query
+def op13_filter_audit(spark: SparkSession, d: str) -> DataFrame:
+    masks = filter_audit.masks(table(spark, d, "documents"), table(spark, d, "labels"))
+    return filter_audit.audit(masks, "ABCDE")
+
+
 ORACLES: dict[str, str] = {
     "op2_chat": r"""
         with rows as (
@@ -182,4 +217,52 @@ ORACLES: dict[str, str] = {
             sum(length(escaped) + case when before = role then 3 else 17 + length(role) end)::bigint as formatted_chars
         from marked group by conv_id
     """,
+    "op13_filter_audit": r"""
+        with texts as (
+            select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t,
+                regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words
+            from documents
+        ), judged as (
+            select doc_id, part,
+                case when len(words) < 200 then 'A' else '' end
+                || case when 100 * len(list_distinct(words)) < 50 * len(words) then 'B' else '' end
+                || case when 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t) then 'C' else '' end
+                || case when regexp_matches(t, '[#$%&*|]') then 'D' else '' end
+                || case when doc_id > min(doc_id) over (partition by t) then 'E' else '' end as fails
+            from texts
+        ), marks as (
+            select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as toxic
+            from labels group by doc_id
+        ), cells as (
+            select part, fails, count(*) as n, sum(coalesce(good, 0)) as good, sum(coalesce(toxic, 0)) as toxic
+            from judged left join marks using (doc_id) group by part, fails
+        ), letters as (
+            select unnest(['A', 'B', 'C', 'D', 'E']) as x
+        ), orders as (
+            select a.x || b.x || c.x || d.x || e.x as filter_order
+            from letters a, letters b, letters c, letters d, letters e
+            where b.x <> a.x and c.x not in (a.x, b.x) and d.x not in (a.x, b.x, c.x) and e.x not in (a.x, b.x, c.x, d.x)
+        ), steps as (
+            select filter_order, step, substr(filter_order, step, 1) as letter, substr(filter_order, 1, step - 1) as before
+            from orders, (select unnest([1, 2, 3, 4, 5]) as step)
+        ), told as (
+            select part, filter_order, step, letter, n, good, toxic,
+                contains(fails, letter) as failing, fails = letter as alone,
+                length(translate(before, fails, '')) = step - 1 as there
+            from cells, steps
+        ), counted as (
+            select part, filter_order, step, letter,
+                sum(case when there and not failing then n else 0 end) as kept,
+                sum(case when there and failing then n else 0 end) as removed,
+                sum(case when failing and not there then n else 0 end) as redundant,
+                sum(case when alone then n else 0 end) as unique_fails,
+                sum(case when there and failing then good else 0 end) as good_lost,
+                sum(case when there and failing then toxic else 0 end) as toxic_lost
+            from told group by part, filter_order, step, letter
+        )
+        select part, filter_order, step::integer as step, kept::bigint as kept, removed::bigint as removed,
+            redundant::bigint as redundant, unique_fails::bigint as unique_fails, good_lost::bigint as good_lost,
+            toxic_lost::bigint as toxic_lost, (sum(removed) over (partition by part, letter))::bigint as shapley
+        from counted
+    """,
 }
