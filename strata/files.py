@@ -49,3 +49,32 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 def delete(spark: SparkSession, path: str) -> None:
     where, fs = _path(spark, path)
     fs.delete(where, True)
+
+
+def folders(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Folders ``depth`` levels below ``path`` (at 0, itself if it is there), relative to it."""
+    where, fs = _path(spark, path)
+    if not fs.exists(where):
+        return []
+    found = [""]
+    for _ in range(depth):
+        below = []
+        for parent in found:
+            # A child's URI would escape names twice; its name is the folder's own.
+            for status in fs.listStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{parent}" if parent else path)):
+                if status.isDirectory():
+                    below.append(f"{parent}/{status.getPath().getName()}" if parent else status.getPath().getName())
+        found = below
+    return found
+
+
+def replace(spark: SparkSession, source: str, target: str) -> None:
+    """Put one folder in the place of another, which may be absent."""
+    here, fs = _path(spark, source.rstrip("/"))
+    there, _ = _path(spark, target.rstrip("/"))
+    if fs.exists(there):
+        fs.delete(there, True)
+    else:
+        fs.mkdirs(there.getParent())
+    if not fs.rename(here, there):
+        raise OSError(f"cannot move {source} to {target}")

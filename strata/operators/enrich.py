@@ -108,6 +108,21 @@ def category_analytics(stats: DataFrame, lookup: DataFrame | None, keyed: bool =
     return share_of_total(category_rollup(stats, lookup, keyed), DAY, "total_views", "view_share_pct")
 
 
+def lookup_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(region, category id) whose name is not the same in two lookups, or is in one only."""
+    names = ["id", "region", "category_name"]
+    one, other = before.select(*names), after.select(*names)
+    changed = one.exceptAll(other).unionByName(other.exceptAll(one))
+    return changed.select("region", F.col("id").alias("category_id")).distinct()
+
+
+def changed_days(stats: DataFrame, since: str, renamed: DataFrame) -> DataFrame:
+    """(region, day) with rows as new as ``since`` or with a category that ``renamed`` lists."""
+    newer = stats.where(F.col("_ingestion_timestamp") >= since).select(*DAY)
+    named = stats.join(renamed, ["region", "category_id"], "left_semi").select(*DAY)
+    return newer.unionByName(named).distinct()
+
+
 def refreshed(mart: DataFrame, days: DataFrame, rebuilt: DataFrame) -> DataFrame:
     """A daily mart with the rows of ``days`` (region, day) rebuilt."""
     return mart.join(days, DAY, "left_anti").unionByName(rebuilt)

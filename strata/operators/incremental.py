@@ -29,4 +29,6 @@ def newer_than(raw: DataFrame, mark: str | None, inclusive: bool = False) -> Dat
 
 
 def with_ingest_date(raw: DataFrame) -> DataFrame:
-    return raw.withColumn("ingest_date", F.substring("_ingestion_timestamp", 1, 10))
+    """The day of the ingestion timestamp, ``unknown`` for a text that does not begin with one."""
+    day = F.substring("_ingestion_timestamp", 1, 10)
+    return raw.withColumn("ingest_date", F.when(day.rlike(r"^\d{4}-\d{2}-\d{2}$"), day).otherwise("unknown"))

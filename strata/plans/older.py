@@ -49,9 +49,11 @@ class OlderMedallion:
 
         Returns all files without any item, which are errors.
         """
+        flat = landing.flat_reference(self.spark, paths, run_ts, multi_line)
+        if "id" in flat.columns:
+            flat = legacy.latest_reference(flat, "position")
+        self.reference.overwrite_partitions(flat.drop("position"))
         docs = landing.read_documents(self.spark, paths, REFERENCE_DOCUMENT, multi_line)
-        flat = landing.flat_reference(docs, run_ts)
-        self.reference.overwrite_partitions(legacy.latest_reference(flat, "position").drop("position"))
         return landing.empty_reference_files(docs)
 
     def check(self, now: datetime, sample: int | None = None) -> list[dict]:
@@ -65,9 +67,9 @@ class OlderMedallion:
     def build_gold(self, now: datetime) -> dict[str, int]:
         """Marts, registered in the catalog.  The reference table is optional."""
         lookup = legacy.build_lookup(self.reference.read()) if self.reference.exists() else None
-        stats = legacy.with_category(self.statistics.read(), lookup)
+        stats = self.statistics.read()
         with staging(self.spark):
             return {
-                name: self.gold[name].replace(build(stats, now), register=f"{self.database}.{name}")
+                name: self.gold[name].replace(build(stats, lookup, now), register=f"{self.database}.{name}")
                 for name, build in GOLD.items()
             }

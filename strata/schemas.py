@@ -71,6 +71,11 @@ def landed_document(item: StructType) -> StructType:
 SNAPSHOT_DOCUMENT = landed_document(SNAPSHOT_ITEM)
 REFERENCE_DOCUMENT = StructType([*_strings("kind", "etag"), *landed_document(REFERENCE_ITEM).fields])
 
+QUARANTINE = StructType(_strings("key", "error", "content"))
+
+# What an ingest landed, per region and file.
+COUNTERS = StructType([*_strings("region", "file"), *_longs("rows", "quarantined")])
+
 RAW_STATISTICS = StructType(
     [
         *_strings(

@@ -9,17 +9,21 @@ spread over tasks and its files can be split on reading.
 
 from __future__ import annotations
 
+import csv
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StringType, StructField, StructType, VariantType
 
 from strata.functions import columns as C
 from strata.schemas import (
     CORRUPT,
+    METADATA,
+    QUARANTINE,
     RAW_STATISTICS,
     REFERENCE_DOCUMENT,
     SNAPSHOT_DOCUMENT,
@@ -27,11 +31,6 @@ from strata.schemas import (
 
 Paths = str | Sequence[str]
 
-# Older than any landing: a file source forgets, and then never reads, files
-# whose time lies further than this behind the newest one.
-ANY_AGE = "36500d"
-
-
 def iso_now(now: datetime | None = None) -> str:
     now = now or datetime.now(timezone.utc)
     return now.astimezone(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f+00:00")
@@ -45,21 +44,16 @@ def read_documents(
     paths: Paths,
     schema: StructType,
     multi_line: bool = True,
-    files_per_batch: int | None = None,
     glob: str = "*.json",
+    whole: str | None = None,
 ) -> DataFrame:
     """Landed documents with their file.  Files of other names are left out.
 
-    With ``files_per_batch`` the one path is followed as a stream of new files,
-    whatever the age of a file beside the newest one seen.
+    ``whole`` names a variant column of the schema that takes each document as it is.
     """
     reader = (
-        (
-            spark.readStream.option("maxFilesPerTrigger", files_per_batch).option("maxFileAge", ANY_AGE)
-            if files_per_batch
-            else spark.read
-        )
-        .schema(schema)
+        spark.read.schema(schema)
+        .options(**{"singleVariantColumn": whole} if whole else {})
         .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
@@ -70,17 +64,101 @@ def read_documents(
     return docs.select("*", C.source_file().alias("_source_file"))
 
 
+def literal_path(path: str) -> str:
+    """A file's name as a path that Spark does not read as a pattern."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
+# Mistyped documents.  Spark's JSON reader keeps the text of a document in which
+# some value is not of the declared type.  Such a text is parsed once more as a
+# variant, from which each declared field is read by itself: a value of another
+# type costs that field, an item that is no object costs that item.
+
+
+def _is_object(value: Column) -> Column:
+    return F.schema_of_variant(value).startswith("OBJECT")
+
+
+def _from_variant(value: Column, data_type: DataType, path: str = "$") -> Column:
+    """The value as the declared type, with null for each field of another type."""
+    if isinstance(data_type, StructType):
+        return F.struct(*[_from_variant(value, f.dataType, f"{path}.{f.name}").alias(f.name) for f in data_type.fields])
+    return F.try_variant_get(value, path, data_type.simpleString())
+
+
+def _lost_fields(value: Column, data_type: DataType, path: str = "$") -> list[Column]:
+    """Per declared field its path if the value there is not of its type, else null."""
+    there = F.try_variant_get(value, path, "variant")
+    given = there.isNotNull() & ~F.is_variant_null(there)
+    name = F.lit(path.removeprefix("$.") if path != "$" else "not an object")
+    if not isinstance(data_type, StructType):
+        return [F.when(given & F.try_variant_get(value, path, data_type.simpleString()).isNull(), name)]
+    own = F.when((given if path != "$" else F.lit(True)) & ~F.coalesce(_is_object(there), F.lit(False)), name)
+    return [own, *[c for f in data_type.fields for c in _lost_fields(value, f.dataType, f"{path}.{f.name}")]]
+
+
+def _lost(value: Column, data_type: DataType) -> Column:
+    return F.array_compact(F.array(*_lost_fields(value, data_type)))
+
+
+def _reparsed() -> Column:
+    """The document as a variant, only where the declared schema did not fit it."""
+    return F.when(F.col(CORRUPT).isNotNull(), F.try_parse_json(F.col(CORRUPT)))
+
+
+def _listed() -> Column:
+    return F.try_variant_get(_reparsed(), "$.items", "array<variant>")
+
+
+def mended(docs: DataFrame) -> DataFrame:
+    """Documents with every item that can be read; those without any have null items."""
+    item = docs.schema["items"].dataType.elementType
+    read = F.transform(F.filter("_listed", _is_object), lambda v: _from_variant(v, item))
+    meta = F.try_variant_get(_reparsed(), "$._pipeline_metadata", "variant")
+    meta = F.when(_is_object(meta), _from_variant(meta, METADATA))
+    # A text that is no JSON at all may have been cut off anywhere, so nothing of it is taken.
+    partly = F.when(F.col(CORRUPT).isNull() | _reparsed().isNotNull(), F.col("items"))
+    return (
+        docs.withColumn("_listed", _listed())
+        .withColumn("items", F.coalesce(read, partly))
+        .withColumn("_pipeline_metadata", F.when(F.col("_listed").isNotNull(), meta).otherwise(F.col("_pipeline_metadata")))
+        .drop("_listed")
+    )
+
+
 def quarantine(docs: DataFrame) -> DataFrame:
-    """Files (or lines) that are not readable JSON: one record each, none lost."""
-    # Spark refuses a JSON scan of nothing but the corrupt-record column, so the
-    # filter also looks at the items, whatever columns the caller keeps.
-    reads_items = F.coalesce(F.size("items"), F.lit(0)) >= -1
-    partly = F.when(F.col("items").isNotNull(), "document only partly readable")
-    return docs.where(F.col(CORRUPT).isNotNull() & reads_items).select(
-        F.col("_source_file").alias("key"),
-        F.coalesce(partly, F.lit("not a readable JSON document")).alias("error"),
-        F.col(CORRUPT).alias("content"),
+    """What cannot be read, with its text: none is lost silently.
+
+    A record per unreadable document (a file, or a line), and one per item of a
+    readable document that lost a field or is no object.
+    """
+    item = docs.schema["items"].dataType.elementType
+    record = lambda error, content: F.struct(error.alias("error"), content.alias("content"))
+    whole = lambda text: F.array(record(F.lit(text), F.col(CORRUPT)))
+
+    def of_item(value: Column, place: Column) -> Column:
+        fields = F.array_join(_lost(value, item), ", ")
+        error = F.concat(F.lit("item "), (place + 1).cast("string"), F.lit(": "), fields)
+        return F.when(fields != "", record(error, F.to_json(value)))
+
+    meta = F.try_variant_get(_reparsed(), "$._pipeline_metadata", "variant")
+    fields = F.array_join(_lost(meta, METADATA), ", ")
+    of_meta = F.when(
+        meta.isNotNull() & ~F.is_variant_null(meta) & (fields != ""),
+        record(F.concat(F.lit("_pipeline_metadata: "), fields), F.to_json(meta)),
     )
+    found = F.array_compact(F.concat(F.transform("_listed", of_item), F.array(of_meta)))
+    partly = whole("document only partly readable")
+    problems = (
+        F.when(F.col("_listed").isNotNull(), F.when(F.size(found) > 0, found).otherwise(partly))
+        .when(F.col("items").isNotNull() & _reparsed().isNotNull(), partly)
+        .otherwise(whole("not a readable JSON document"))
+    )
+    # A scan checks the fields that it reads, and Spark refuses one of nothing but the
+    # corrupt-record column.  So the filter looks at all of a document.
+    reads_all = F.coalesce(F.length(F.to_json(F.struct("items", "_pipeline_metadata"))), F.lit(0)) >= 0
+    bad = docs.where(F.col(CORRUPT).isNotNull() & reads_all).withColumn("_listed", _listed())
+    return bad.select(F.col("_source_file").alias("key"), F.explode(problems).alias("p")).select("key", "p.*")
 
 
 def _region(meta: str = "_pipeline_metadata") -> Column:
@@ -97,8 +175,8 @@ def _timestamp(run_ts: str, meta: str = "_pipeline_metadata") -> Column:
 
 
 def normalize_snapshots(docs: DataFrame, run_ts: str) -> DataFrame:
-    """One raw statistics row per item.  No items, or a corrupt file: no rows."""
-    items = docs.where(F.col(CORRUPT).isNull()).select(
+    """One raw statistics row per readable item.  No items, or a corrupt file: no rows."""
+    items = mended(docs).select(
         F.explode("items").alias("i"),
         _region().alias("region"),
         _timestamp(run_ts).alias("ts"),
@@ -131,7 +209,7 @@ def read_snapshots(spark: SparkSession, paths: Paths, run_ts: str, multi_line: b
 def normalize_reference(docs: DataFrame, run_ts: str) -> DataFrame:
     """One raw reference row per category item."""
     from_api = F.col("_pipeline_metadata").isNotNull()
-    items = docs.where(F.col(CORRUPT).isNull()).select(
+    items = mended(docs).select(
         F.explode("items").alias("i"),
         _region().alias("region"),
         F.when(from_api, C.API_SOURCE).otherwise(C.HISTORY_SOURCE).alias("source"),
@@ -162,60 +240,177 @@ def empty_reference_files(docs: DataFrame) -> DataFrame:
     )
 
 
-def flat_reference(docs: DataFrame, run_ts: str) -> DataFrame:
+def read_items(spark: SparkSession, paths: Paths, multi_line: bool = True, glob: str = "*.json") -> DataFrame:
+    """Items of any shape: ``item`` (a variant), its ``position`` and ``_source_file``.
+
+    A document without an item list counts as one item itself.  Items that are no
+    objects have no fields and are left out.
+    """
+    docs = read_documents(spark, paths, StructType([StructField("doc", VariantType()), StructField(CORRUPT, StringType())]), multi_line, glob=glob, whole="doc")
+    listed = F.try_variant_get("doc", "$.items", "array<variant>")
+    items = F.coalesce(listed, F.array("doc"))
+    found = docs.where(F.col("doc").isNotNull()).select(F.posexplode(items).alias("position", "item"), "_source_file")
+    return found.where(_is_object(F.col("item")))
+
+
+# Variant types that a column can have as they are; any other is kept as JSON text.
+PLAIN = re.compile(r"(BIGINT|DOUBLE|BOOLEAN|STRING|DECIMAL\(\d+,\d+\))")
+MAX_COLUMNS = 5_000
+
+
+def leaf_columns(schema: str) -> dict[tuple[str, ...], str]:
+    """Path and type of every field that is no object, from a variant schema's text."""
+    found: dict[tuple[str, ...], str] = {}
+    word = re.compile(r"`((?:[^`]|``)*)`|([^:<>`, ]+)")
+
+    def fields(at: int, path: tuple[str, ...]) -> int:
+        # ``at`` is behind "OBJECT<"; gives the place behind its ">".
+        while schema[at] != ">":
+            match = word.match(schema, at)
+            name = match[2] if match[1] is None else match[1].replace("``", "`")
+            at = match.end() + 2
+            if schema.startswith("OBJECT<", at):
+                at = fields(at + len("OBJECT<"), (*path, name))
+            else:
+                start, depth = at, 0
+                while depth or schema[at] not in ",>":
+                    depth += {"<": 1, "(": 1, ">": -1, ")": -1}.get(schema[at], 0)
+                    at += 1
+                found[*path, name] = schema[start:at]
+            if schema[at] == ",":
+                at += 2
+        return at + 1
+
+    if schema.startswith("OBJECT<"):
+        fields(len("OBJECT<"), ())
+    return found
+
+
+def _field(value: Column, path: Sequence[str]) -> Column:
+    """The variant at a path of any names, also those that a path text cannot write."""
+    text = "$"
+    for name in path:
+        quote = next((q for q in "'\"" if q not in name), None)
+        if name and quote:
+            text += f"[{quote}{name}{quote}]"
+        else:
+            value, text = F.try_element_at(F.try_variant_get(value, text, "map<string,variant>"), F.lit(name)), "$"
+    return F.try_variant_get(value, text, "variant")
+
+
+def flatten_items(items: DataFrame) -> DataFrame:
+    """Every field found in the data as a column of its own, named by its dotted path.
+
+    The columns come from one aggregate over all items.  Numbers, truths and texts
+    keep their type where all items agree; lists and mixed fields are JSON texts, as is
+    an object that is something else in another item.  A field whose name holds a dot
+    shares the column of the path that reads the same.  The other columns of
+    ``items`` stay where no field has their name.
+    """
+    schema = items.agg(F.schema_of_variant_agg("item").alias("s")).first()["s"] or ""
+    leaves = leaf_columns(schema)
+    if len(leaves) > MAX_COLUMNS:
+        raise ValueError(f"{len(leaves)} fields: the items look like maps keyed by values, not like records")
+    columns: dict[str, list[Column]] = {}
+    types: dict[str, set[str]] = {}
+    for path, kind in leaves.items():
+        columns.setdefault(".".join(path), []).append(_field(F.col("item"), path))
+        types.setdefault(".".join(path), set()).add(kind)
+
+    def one(name: str) -> Column:
+        value = F.coalesce(*columns[name])
+        kind = next(iter(types[name])) if len(types[name]) == 1 else "VARIANT"
+        if PLAIN.fullmatch(kind):
+            return F.try_variant_get(value, "$", kind.lower()).alias(name)
+        text = F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
+        return F.when(~F.is_variant_null(value), F.coalesce(text, F.to_json(value))).alias(name)
+
+    kept = [F.col(f"`{c}`") for c in items.columns if c != "item" and c not in columns]
+    return items.select(*[one(name) for name in columns], *kept)
+
+
+def flat_reference(spark: SparkSession, paths: Paths, run_ts: str, multi_line: bool = True) -> DataFrame:
     """Older reference shape: every item field as a dotted column, plus lineage.
 
-    A document without an item list counts as one item itself.  ``position`` is
-    an item's place in its document.
+    ``position`` is an item's place in its document.
     """
-    item = docs.schema["items"].dataType.elementType
-    itself = F.from_json(F.to_json(F.struct("kind", "etag")), item)
-    items = F.coalesce("items", F.array(itself))
-    good = docs.where(F.col(CORRUPT).isNull())
-    return good.select(F.posexplode(items).alias("position", "i"), "_source_file").select(
-        "position",
-        F.col("i.kind").alias("kind"),
-        F.col("i.etag").alias("etag"),
-        F.col("i.id").alias("id"),
-        F.col("i.snippet.channelId").alias("snippet.channelId"),
-        F.col("i.snippet.title").alias("snippet.title"),
-        F.col("i.snippet.assignable").alias("snippet.assignable"),
-        F.lit(run_ts).alias("_ingestion_timestamp"),
-        "_source_file",
-        C.region_from_path(F.col("_source_file")).alias("region"),
-    )
+    lineage = {"_ingestion_timestamp": F.lit(run_ts), "region": C.region_from_path(F.col("_source_file"))}
+    return flatten_items(read_items(spark, paths, multi_line)).withColumns(lineage)
 
 
-def read_history_csv(spark: SparkSession, paths: Paths, run_ts: str) -> DataFrame:
-    """Historical CSV files as raw statistics rows.
+# ── historical CSV ─────────────────────────────────────────────────────────
+
+
+def csv_headers(spark: SparkSession, paths: Paths) -> DataFrame:
+    """``_source_file`` and first line of every CSV file; null for one without a line.
+
+    The lines are found by a scan that only cuts files into lines, which Spark splits
+    whatever their size.
+    """
+
+    def read(form: str) -> DataFrame:
+        reader = spark.read.format(form).option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True)
+        return reader.load(paths if isinstance(paths, str) else list(paths))
+
+    # Names only: the content column is not read.
+    names = read("binaryFile").select(C.source_file().alias("_source_file"))
+    first = read("text").where((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != ""))
+    lines = first.select(C.source_file().alias("_source_file"), "value").groupBy("_source_file").agg(F.first("value").alias("header"))
+    return names.join(lines, "_source_file", "left")
+
 
-    Columns are matched by header name, and one that is absent is null.  Files
-    of one path must share a header (Spark refuses a file whose header
-    differs); give paths with different headers as separate list entries.
-    Bytes that are not UTF-8 become U+FFFD.
+def read_history(spark: SparkSession, paths: Paths, run_ts: str) -> tuple[DataFrame, DataFrame]:
+    """Historical CSV files of any headers: raw statistics rows, and what cannot be read.
+
+    Files are grouped by header and read per group, columns matched by name; one
+    that is absent is null.  Of a name that occurs twice the first counts.  A row with
+    fewer cells than the header has nulls for the rest; one with more is left out and
+    recorded with its text, as is a file without a header; a file of no bytes is not seen
+    by Spark's readers.  Bytes that are not UTF-8 become U+FFFD.  Only distinct headers and file names come to the driver.
     """
-    frames = []
-    for path in [paths] if isinstance(paths, str) else paths:
-        reader = (
-            spark.read.option("header", True)
-            .option("multiLine", True)
-            .option("escape", '"')
-            .option("pathGlobFilter", "*.csv")
-            .option("recursiveFileLookup", True)
+    groups = csv_headers(spark, paths).groupBy("header").agg(F.sort_array(F.collect_list("_source_file")).alias("files"))
+    frames, bad = [], []
+    for header, files in sorted(map(tuple, groups.collect()), key=repr):
+        if header is None:
+            lost = spark.createDataFrame([(f, "no header", None) for f in files], QUARANTINE)
+            bad.append(lost)
+            continue
+        names = [name.strip() for name in next(csv.reader([header.removeprefix("\ufeff")]))]
+        cells = StructType([StructField(f"c{i}", StringType()) for i in range(len(names))]).add(CORRUPT, StringType())
+        rows = (
+            spark.read.schema(cells)
+            .options(header=True, multiLine=True, escape='"', columnNameOfCorruptRecord=CORRUPT)
+            .csv([literal_path(f) for f in files])
+            .select("*", C.source_file().alias("_source_file"))
+        )
+        # Cells of a row whose number is not the header's, counted outside of quotes.
+        outside = F.regexp_replace(CORRUPT, '"[^"]*"', "")
+        n_cells = F.regexp_count(outside, F.lit(",")) + 1
+        # As for JSON, the filter must also look at a cell.
+        too_long = F.coalesce(n_cells, F.lit(0)) > len(names)
+        reads_cell = F.coalesce(F.length("c0"), F.lit(0)) >= 0
+        error = F.concat(n_cells.cast("string"), F.lit(f" cells under a header of {len(names)}"))
+        bad.append(
+            rows.where(too_long & reads_cell).select(F.col("_source_file").alias("key"), error.alias("error"), F.col(CORRUPT).alias("content"))
         )
-        header = reader.csv(path).schema
-        frames.append(normalize_history(reader.option("enforceSchema", False).schema(header).csv(path), run_ts))
-    return union_shapes(spark, frames, RAW_STATISTICS)
+        frames.append(normalize_history(rows.where(~too_long), names, run_ts))
+    return union_shapes(spark, frames, RAW_STATISTICS), union_shapes(spark, bad, QUARANTINE)
+
+
+def read_history_csv(spark: SparkSession, paths: Paths, run_ts: str) -> DataFrame:
+    return read_history(spark, paths, run_ts)[0]
+
 
+def normalize_history(rows: DataFrame, names: Sequence[str], run_ts: str) -> DataFrame:
+    """Raw statistics of cells ``c0``, ``c1``, ... whose header is ``names``."""
 
-def normalize_history(df: DataFrame, run_ts: str) -> DataFrame:
     def text(name: str) -> Column:
-        return C.na_to_null(C.column_or_null(df, name))
+        return C.na_to_null(F.col(f"c{names.index(name)}")) if name in names else F.lit(None).cast("string")
 
     def number(name: str) -> Column:
         return C.truncating_long(text(name)).alias(name)
 
-    return df.select(
+    return rows.select(
         text("video_id").alias("video_id"),
         text("title").alias("title"),
         text("channel_title").alias("channel_title"),
@@ -228,13 +423,36 @@ def normalize_history(df: DataFrame, run_ts: str) -> DataFrame:
         number("dislikes"),
         number("comment_count"),
         text("description").alias("description"),
-        C.region_from_path(C.source_file()).alias("region"),
+        C.region_from_path(F.col("_source_file")).alias("region"),
         F.lit(C.HISTORY_SOURCE).alias("source"),
         F.lit(run_ts).alias("_ingestion_timestamp"),
-        C.source_file().alias("_source_file"),
+        "_source_file",
     )
 
 
+# ── both kinds in one folder ───────────────────────────────────────────────
+
+
+def read_landed(spark: SparkSession, paths: Paths, run_ts: str, multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Statistics of a folder, or of a list of files, by suffix: rows, and what cannot be read.
+
+    ``.json`` files are snapshots, ``.csv`` files are history, others are left out.
+    """
+    chosen = lambda end: paths if isinstance(paths, str) else [p for p in paths if p.endswith(end)]
+    frames, bad = [], []
+    if chosen(".json"):
+        files = chosen(".json")
+        docs = read_documents(spark, files if isinstance(files, str) else [literal_path(f) for f in files], SNAPSHOT_DOCUMENT, multi_line)
+        frames.append(normalize_snapshots(docs, run_ts))
+        bad.append(quarantine(docs))
+    if chosen(".csv"):
+        files = chosen(".csv")
+        rows, lost = read_history(spark, files if isinstance(files, str) else [literal_path(f) for f in files], run_ts)
+        frames.append(rows)
+        bad.append(lost)
+    return union_shapes(spark, frames, RAW_STATISTICS), union_shapes(spark, bad, QUARANTINE)
+
+
 def union_shapes(spark: SparkSession, frames: Sequence[DataFrame], schema: StructType) -> DataFrame:
     """All frames as one; without any, an empty frame of the schema."""
     out = spark.createDataFrame([], schema) if not frames else frames[0]
@@ -243,6 +461,14 @@ def union_shapes(spark: SparkSession, frames: Sequence[DataFrame], schema: Struc
     return out.select(schema.names)
 
 
+def any_readable(spark: SparkSession, path: str, multi_line: bool = True) -> bool:
+    """Whether a folder holds a readable snapshot document or a CSV file with a header."""
+    docs = mended(read_documents(spark, path, SNAPSHOT_DOCUMENT, multi_line))
+    if docs.where(F.col("items").isNotNull() | F.col(CORRUPT).isNull()).select("_source_file", "items").first():
+        return True
+    return csv_headers(spark, path).where(F.col("header").isNotNull()).first() is not None
+
+
 # ── writing ────────────────────────────────────────────────────────────────
 
 

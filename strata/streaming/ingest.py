@@ -1,22 +1,28 @@
-"""Incremental ingest of newly landed files, and the upsert that follows it."""
+"""Take-once ingest of newly landed files, and the upsert that follows it."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from strata import files
+from strata.functions import columns as C
 from strata.operators.clean import curate_statistics
 from strata.operators.incremental import with_ingest_date
-from strata.schemas import CURATED_KEY, RAW_STATISTICS, SNAPSHOT_DOCUMENT
-from strata.sources.landing import ANY_AGE, normalize_snapshots, quarantine, read_documents
+from strata.schemas import COUNTERS, CURATED_KEY, QUARANTINE, RAW_STATISTICS
+from strata.sources import landing as sources
 from strata.tables import Table
 
 RAW_LAYOUT = ["region", "ingest_date"]
-WRITERS_PER_PARTITION = 16
 INGESTED = StructType([*RAW_STATISTICS.fields, StructField("ingest_date", StringType())])
 
+# Older than any landing: a file source forgets, and then never reads, files
+# whose time lies further than this behind the newest one.
+ANY_AGE = "36500d"
+# Files of the stream by name, time and size.  Their content is left to the batch.
+FILE_LIST = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def ingest_available(
     spark: SparkSession,
@@ -26,43 +32,91 @@ def ingest_available(
     run_ts: str,
     multi_line: bool = True,
     files_per_batch: int = 10_000,
-) -> None:
-    """Append files that no earlier run has seen, then stop.
-
-    The file sink's own log makes the append exactly-once.  Each batch takes at
-    most ``files_per_batch`` files, so a first run over a full landing area is
-    many bounded batches.  Rows of one region and day are brought together for
-    writing, spread over a few tasks so that a large region is no hot spot.
+    quarantine_path: str | None = None,
+    counters_path: str | None = None,
+) -> list[int]:
+    """Append files that no earlier run has seen, then stop.  Gives the batches taken.
+
+    The stream follows file names: ``.json`` and ``.csv`` of one folder tree, whatever
+    their age beside the newest one seen.  A batch of at most ``files_per_batch``
+    files is then read and written like any table, so its writers follow its
+    own sizes: rows of a region and day are brought together, and a region far larger
+    than the rest is split.  Each batch has a folder of its own, which a batch that is
+    run again after a failure replaces: every file is appended exactly once.
+
+    What cannot be read goes to ``quarantine_path`` in the same pass over the
+    plan's files; ``counters_path`` gets the rows and records of each file.
     """
-    docs = _landed(spark, landing, multi_line, files_per_batch)
-    raw = with_ingest_date(normalize_snapshots(docs, run_ts))
-    writer = F.pmod(F.xxhash64("video_id"), F.lit(WRITERS_PER_PARTITION))
-    raw = raw.repartition(*RAW_LAYOUT, writer)
-    _run_to_end(
-        raw.writeStream.format("parquet")
-        .partitionBy(*RAW_LAYOUT)
-        .option("path", raw_path)
-        .option("checkpointLocation", checkpoint)
+    taken: list[int] = []
+
+    def take(batch: DataFrame, number: int) -> None:
+        names = [row[0] for row in batch.select(C.source_file()).collect()]
+        rows, bad = sources.read_landed(spark, names, run_ts, multi_line)
+        _write_batch(with_ingest_date(rows), raw_path, number, RAW_LAYOUT)
+        if quarantine_path:
+            _write_batch(bad, quarantine_path, number)
+        if counters_path:
+            _write_batch(_count(spark, names, raw_path, quarantine_path, number), counters_path, number)
+        taken.append(number)
+
+    new = (
+        spark.readStream.format("binaryFile")
+        .schema(FILE_LIST)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", ANY_AGE)
+        .option("pathGlobFilter", "*.{json,csv}")
+        .option("recursiveFileLookup", True)
+        .load(landing)
+    )
+    _run_to_end(new.select("path", "_metadata").writeStream.foreachBatch(take).option("checkpointLocation", checkpoint))
+    return taken
+
+
+def _folder(path: str, number: int) -> str:
+    return f"{path}/batch={number}"
+
+
+def _write_batch(df: DataFrame, path: str, number: int, layout: list[str] | None = None) -> None:
+    spread = df.hint("rebalance", *layout) if layout else df
+    spread.write.mode("overwrite").partitionBy(*layout or []).parquet(_folder(path, number))
+
+
+def _count(spark: SparkSession, names: list[str], raw_path: str, quarantine_path: str | None, number: int) -> DataFrame:
+    """Counters of each file of a batch, files without a row included, from what was just written."""
+    listed = spark.createDataFrame([(n,) for n in names], "file string")
+    rows = spark.read.schema(INGESTED).parquet(_folder(raw_path, number))
+    rows = rows.groupBy(F.col("_source_file").alias("file"), "region").agg(F.count(F.lit(1)).alias("rows"))
+    bad = spark.createDataFrame([], QUARANTINE)
+    if quarantine_path:
+        bad = spark.read.schema(QUARANTINE).parquet(_folder(quarantine_path, number))
+    bad = bad.groupBy(F.col("key").alias("file")).agg(F.count(F.lit(1)).alias("quarantined"))
+    none = F.lit(0).cast("bigint")
+    # The lines of a file may be of several regions; its records count with the first.
+    first = F.col("region").eqNullSafe(F.min("region").over(Window.partitionBy("file")))
+    return (
+        listed.join(rows, "file", "left")
+        .join(bad, "file", "left")
+        .select(
+            F.coalesce("region", C.region_from_path(F.col("file"))).alias("region"),
+            "file",
+            F.coalesce("rows", none).alias("rows"),
+            F.when(first, F.coalesce("quarantined", none)).otherwise(none).alias("quarantined"),
+        )
     )
 
 
-def quarantine_available(
-    spark: SparkSession,
-    landing: str,
-    path: str,
-    checkpoint: str,
-    multi_line: bool = True,
-    files_per_batch: int = 10_000,
-) -> None:
-    """Record unreadable new files with their text, once each."""
-    bad = quarantine(_landed(spark, landing, multi_line, files_per_batch))
-    _run_to_end(
-        bad.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-    )
+def read_batches(spark: SparkSession, path: str, schema: StructType, batches: list[int] | None = None) -> DataFrame:
+    """Rows of all batches, or of the given ones only."""
+    if not files.exists(spark, path):
+        return spark.createDataFrame([], schema)
+    df = spark.read.schema(schema).option("basePath", path).parquet(path)
+    if batches is not None:
+        df = df.where(F.col("batch").isin(batches)) if "batch" in df.columns else df.where("false")
+    return df.select(*schema.names)
 
 
 def read_ingested(spark: SparkSession, raw_path: str) -> DataFrame:
-    return spark.read.schema(INGESTED).parquet(raw_path)
+    return read_batches(spark, raw_path, INGESTED)
 
 
 def has_ingested(spark: SparkSession, raw_path: str) -> bool:
@@ -83,14 +137,10 @@ def upsert_available(
         table.upsert(curate_statistics(batch), CURATED_KEY, ["_ingestion_timestamp"])
 
     reader = spark.readStream.schema(INGESTED).option("maxFilesPerTrigger", files_per_batch).option("maxFileAge", ANY_AGE)
-    raw = reader.parquet(raw_path).drop("ingest_date")
+    raw = reader.parquet(raw_path).select(*RAW_STATISTICS.names)
     _run_to_end(raw.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint))
 
 
-def _landed(spark: SparkSession, landing: str, multi_line: bool, files_per_batch: int) -> DataFrame:
-    return read_documents(spark, landing, SNAPSHOT_DOCUMENT, multi_line, files_per_batch)
-
-
 def _run_to_end(writer) -> None:
     query = writer.trigger(availableNow=True).start()
     query.awaitTermination()

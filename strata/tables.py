@@ -171,8 +171,8 @@ class Table:
 
         Only partitions that the batch touches are read and rewritten, so the
         partition columns must be part of the key.  The merged partitions are
-        first written beside the table; only then is the live data replaced from
-        there.  A run that dies in between is completed by the next call.
+        first written beside the table; only then are they moved over the live
+        ones.  A run that dies in between is completed by the next call.
         """
         if not set(self.partition_by) <= set(key):
             raise ValueError("partition columns must belong to the upsert key")
@@ -189,20 +189,22 @@ class Table:
         rows = self._write(batch, staged_path, "overwrite", flat=True)
         if rows:
             staged = self.spark.read.schema(batch.schema).parquet(staged_path)
-            self._check_key(staged, key)
             schema = evolved(StructType.fromJson(self._descriptor()["schema"]), batch.schema)
             touched = self.read().where(self.partitions_of(staged))
-            if order:
-                both = conform(touched, schema).withColumn("_new", F.lit(0)).unionByName(
-                    conform(staged, schema).withColumn("_new", F.lit(1))
-                )
-                newest = [*[F.col(c).desc_nulls_last() for c in order], F.col("_new").desc()]
-                place = F.row_number().over(Window.partitionBy(*key).orderBy(*newest))
-                merged = both.withColumn("_place", place).where("_place = 1").drop("_place", "_new")
-            else:
-                kept = touched.join(staged.select(*key), list(key), "left_anti")
-                merged = conform(kept, schema).unionByName(conform(staged, schema))
-            self._write(merged, f"{self.path}/{PENDING}", "overwrite", flat=True)
+            both = conform(touched, schema).withColumn("_new", F.lit(0)).unionByName(
+                conform(staged, schema).withColumn("_new", F.lit(1))
+            )
+            own = Window.partitionBy(*key)
+            newest = own.orderBy(*[F.col(c).desc_nulls_last() for c in order], F.col("_new").desc())
+            # One shuffle by key: for the newest row, and for keys that the batch may not have.
+            placed = both.withColumn("_place", F.row_number().over(newest)).withColumn("_rows", F.sum("_new").over(own))
+            checked = Observation()
+            problem = (F.col("_new") == 1) & self._bad_key(key, F.col("_rows") > 1)
+            placed = placed.observe(checked, F.max(F.when(problem, F.to_json(F.struct(*key)))).alias("key"))
+            self._write(placed.where("_place = 1").drop("_place", "_rows", "_new"), f"{self.path}/{PENDING}", "overwrite")
+            if checked.get["key"]:
+                files.delete(self.spark, f"{self.path}/{PENDING}")
+                raise KeyProblem(f"null or repeated upsert key {list(key)}, for example {checked.get['key']}")
             files.write_text(
                 self.spark, f"{self.path}/{PENDING_DESCRIPTOR}", json.dumps({"schema": schema.jsonValue()})
             )
@@ -210,12 +212,16 @@ class Table:
         files.delete(self.spark, staged_path)
         return rows
 
-    def _check_key(self, staged: DataFrame, key: Sequence[str]) -> None:
-        bad = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key], F.col("n") > 1)
+    def _bad_key(self, key: Sequence[str], repeated: Column) -> Column:
+        bad = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key], repeated)
         for name in self.partition_by:
             # A partition folder cannot hold an empty text; it would come back as null.
             bad = bad | (F.col(name).cast("string") == "")
-        found = staged.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where(bad).first()
+        return bad
+
+    def _check_key(self, staged: DataFrame, key: Sequence[str]) -> None:
+        counted = staged.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+        found = counted.where(self._bad_key(key, F.col("n") > 1)).first()
         if found:
             raise KeyProblem(f"null or repeated upsert key {list(key)}, for example {found.asDict()}")
 
@@ -239,16 +245,17 @@ class Table:
         return reduce(lambda a, b: a | b, terms, F.lit(False))
 
     def _apply_pending(self) -> None:
+        """Move merged partitions into the live data.  What a lost run has moved is not moved again."""
         text = files.read_text(self.spark, f"{self.path}/{PENDING_DESCRIPTOR}")
         if not text:
             return
         schema = StructType.fromJson(json.loads(text)["schema"])
-        merged = self.spark.read.schema(schema).parquet(f"{self.path}/{PENDING}")
-        data = self._descriptor()["data"]
-        self._write(merged, f"{self.path}/{data}", "overwrite", touched_only=bool(self.partition_by))
+        data, pending = self._descriptor()["data"], f"{self.path}/{PENDING}"
+        for folder in files.folders(self.spark, pending, len(self.partition_by)):
+            files.replace(self.spark, f"{pending}/{folder}", f"{self.path}/{data}/{folder}")
         self._publish(data, schema)
         files.delete(self.spark, f"{self.path}/{PENDING_DESCRIPTOR}")
-        files.delete(self.spark, f"{self.path}/{PENDING}")
+        files.delete(self.spark, pending)
 
 
 class Lake:

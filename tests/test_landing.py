@@ -1,6 +1,5 @@
 from datetime import datetime, timezone
 
-import pytest
 from helpers import T1, T2, as_set, document, item, write_json
 from pyspark.sql import functions as F
 
@@ -87,15 +86,97 @@ def test_history_csv(spark, tmp_path):
     assert rows["v1"]["trending_date_raw"] == "17.14.11"
 
 
-def test_csv_with_other_header_is_given_as_own_path(spark, tmp_path):
-    for region, text in {"us": "video_id,views\na,1\n", "gb": "views,video_id,title\n2,b,T\n"}.items():
-        (tmp_path / f"region={region}").mkdir()
-        (tmp_path / f"region={region}/v.csv").write_text(text)
-    paths = [str(tmp_path / "region=us"), str(tmp_path / "region=gb")]
-    got = as_set(landing.read_history_csv(spark, paths, RUN), "video_id", "views", "region", "title")
-    assert got == {("a", 1, "us", None), ("b", 2, "gb", "T")}
-    with pytest.raises(Exception, match="header"):
-        landing.read_history_csv(spark, str(tmp_path), RUN).collect()
+def test_csv_files_of_any_header_and_broken_ones(spark, tmp_path):
+    texts = {
+        "us/a.csv": "video_id,views\na,1\n",
+        "gb/b[1] {x}.csv": '\ufeffviews,video_id,title,views\r\n2,b,"T,\nU",9\r\n',
+        "de/short.csv": "video_id,title,views\nc,C\nd\n",
+        "de/long.csv": 'video_id,views\ne,5\nf,"6","x, ""y"", z"\ng,7\n',
+        "fr/other.csv": '\n"video_id", title \nh,H\n',
+        "fr/header only.csv": "video_id,views\n",
+        "fr/none.csv": "",
+        "fr/blank.csv": "\n\n",
+        "fr/no.txt": "video_id\nz\n",
+    }
+    for name, text in texts.items():
+        (tmp_path / f"region={name}").parent.mkdir(exist_ok=True)
+        (tmp_path / f"region={name}").write_bytes(text.encode())
+    rows, bad = landing.read_history(spark, str(tmp_path), RUN)
+    assert as_set(rows, "video_id", "views", "region", "title") == {
+        ("a", 1, "us", None), ("b", 2, "gb", "T,\nU"), ("c", None, "de", "C"), ("d", None, "de", None),
+        ("e", 5, "de", None), ("g", 7, "de", None), ("h", None, "fr", "H"),
+    }
+    lost = {(r["key"].rsplit("/", 1)[1], r["error"], (r["content"] or "").strip()) for r in bad.collect()}
+    assert lost == {
+        ("long.csv", "3 cells under a header of 2", 'f,"6","x, ""y"", z"'),
+        ("blank.csv", "no header", ""),
+    }
+    assert as_set(landing.read_history_csv(spark, [str(tmp_path / "region=us"), str(tmp_path / "region=fr")], RUN), "video_id") == {("a",), ("h",)}
+
+
+def test_no_csv_file_gives_no_rows(spark, tmp_path):
+    (tmp_path / "x.json").write_text("{}")
+    rows, bad = landing.read_history(spark, str(tmp_path), RUN)
+    assert rows.collect() == bad.collect() == []
+
+
+def test_folder_is_read_by_suffix(spark, tmp_path):
+    write_json(tmp_path / "region=us/a.json", document([item("j")]))
+    (tmp_path / "region=us/b.csv").write_text("video_id,views\nc,1\n")
+    (tmp_path / "region=us/c.parquet").write_text("nothing")
+    (tmp_path / "region=us/d.CSV.gz").write_text("nothing")
+    for paths in (str(tmp_path), [str(p) for p in (tmp_path / "region=us").iterdir()]):
+        rows, bad = landing.read_landed(spark, paths, RUN)
+        assert as_set(rows, "video_id", "source") == {("j", C.API_SOURCE), ("c", C.HISTORY_SOURCE)}
+        assert bad.collect() == []
+    rows, bad = landing.read_landed(spark, [], RUN)
+    assert rows.collect() == bad.collect() == []
+
+
+def test_a_mistyped_field_costs_that_field_only(spark, tmp_path):
+    odd_tags = item("v1")
+    odd_tags["snippet"]["tags"] = "a b"
+    odd_views = item("v2", views=[1, 2])
+    odd_title = item("v3")
+    odd_title["snippet"]["title"] = {"x": 1}
+    no_object = item("v4") | {"snippet": 7, "statistics": "many"}
+    files = {
+        "a.json": document([odd_tags, item("v0"), odd_views]),
+        "b.json": {"items": [odd_title, "text", None, no_object, {"id": 5}], "_pipeline_metadata": "gone"},
+        "c.json": {"items": "no list"},
+        "d.json": document([item("v6")]) | {"_pipeline_metadata": {"region": "gb", "ingestion_timestamp": T2, "video_count": "one"}},
+        "e.json": '{"items": [{"id": "cut"}], "_pipeline_metadata": {"region": ',
+        "f.json": [document([odd_tags | {"id": "v7"}]), document([item("v8")])],
+    }
+    for name, content in files.items():
+        import json
+
+        write_json(tmp_path / f"region=de/{name}", content if isinstance(content, (str, dict)) else json.dumps(content))
+    docs = landing.read_documents(spark, str(tmp_path), SNAPSHOT_DOCUMENT)
+    rows = {r["video_id"]: r for r in landing.normalize_snapshots(docs, RUN).collect()}
+    assert sorted(rows) == ["5", "v0", "v1", "v2", "v3", "v4", "v6", "v7", "v8"]
+    assert rows["v1"]["tags"] is None and rows["v1"]["title"] == "title v1" and rows["v1"]["views"] == 100
+    assert rows["v0"]["tags"] == "a,b" and rows["v0"]["region"] == "us" and rows["v0"]["_ingestion_timestamp"] == T1
+    assert rows["v2"]["views"] is None and rows["v2"]["likes"] == 10 and rows["v2"]["tags"] == "a,b"
+    assert rows["v4"]["title"] is None and rows["v4"]["views"] is None and rows["v4"]["region"] == "de"
+    assert rows["5"]["_ingestion_timestamp"] == RUN
+    assert rows["v6"]["region"] == "gb" and rows["v6"]["_ingestion_timestamp"] == T2
+    lost = {}
+    for r in landing.quarantine(docs).collect():
+        lost.setdefault(r["key"].rsplit("/", 1)[1], set()).add(r["error"])
+    # A list where a text is declared is read as its JSON text, which is no number of views.
+    assert lost["a.json"] == {"item 1: snippet.tags"}
+    assert lost["b.json"] >= {"item 2: not an object", "item 4: snippet, statistics", "_pipeline_metadata: not an object"}
+    assert lost["c.json"] == lost["e.json"] == {"not a readable JSON document"}
+    assert lost["d.json"] == {"_pipeline_metadata: video_count"}
+    assert lost["f.json"] == {"document only partly readable"}
+    assert {"region", "content"} - set(landing.quarantine(docs).columns) == {"region"}
+
+
+def test_mistyped_reference_item(spark, tmp_path):
+    odd = {"id": "10", "snippet": {"title": "Music", "assignable": "yes"}}
+    write_json(tmp_path / "region=us/r.json", {"kind": "k", "items": [odd, {"id": "11", "snippet": {"title": "Film"}}]})
+    assert as_set(landing.read_reference(spark, str(tmp_path), RUN), "id", "title") == {("10", "Music"), ("11", "Film")}
 
 
 def test_union_of_nothing_is_empty_with_schema(spark):

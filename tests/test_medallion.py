@@ -1,7 +1,7 @@
 from datetime import datetime, timezone
 
 import pytest
-from helpers import T1, T2, as_set, document, item, write_json
+from helpers import T1, T2, T3, as_set, document, item, write_json
 
 from strata.operators import legacy
 from strata.operators.quality import QualityError
@@ -139,3 +139,74 @@ def test_repaired_file_needs_inclusive(tmp_path, source, jobs):
     assert jobs.statistics.read().where("video_id = 'late'").count() == 0
     jobs.run(source, NOW, inclusive=True)
     assert jobs.statistics.read().where("video_id = 'late'").count() == 1
+
+
+def test_reference_documents_are_taken_once_by_content(tmp_path, source, jobs):
+    jobs.run(source, NOW)
+    assert jobs.raw_reference.read().count() == 2
+    assert jobs.run(source, NOW).rows["raw_reference_data"] == 0
+    assert jobs.raw_reference.read().count() == 2
+    changed = [{"id": "10", "snippet": {"title": "Songs"}}, CATEGORIES[1]]
+    write_json(tmp_path / "ref/region=US/US_category_id.json", document(changed, ts=T3))
+    assert jobs.run(source, NOW).rows["raw_reference_data"] == 2
+    assert ("Songs",) in as_set(jobs.reference.read(), "category_name")
+    assert jobs.run(source, NOW, rescan=True).rows["raw_reference_data"] == 2
+
+
+def test_renamed_category_reaches_days_without_new_rows(tmp_path, source, jobs):
+    older = [item(f"o{i}", category="29") for i in range(12)]
+    write_json(tmp_path / "stats/region=us/old.json", document(older, ts="2024-01-04T10:00:00.000000+00:00"))
+    jobs.run(source, NOW, changed_days=True)
+    renamed = [CATEGORIES[0], {"id": "29", "snippet": {"title": "Charities"}}]
+    write_json(tmp_path / "ref/region=US/new.json", document(renamed, region="US", ts=T3))
+    jobs.run(source, NOW, changed_days=True)
+    partial = {name: sorted(df.collect()) for name, df in jobs.read_marts().items()}
+    assert "Charities" in {r["category_name"] for r in partial["category_analytics"]}
+    jobs.build_marts(RunReport())
+    assert {name: sorted(df.collect()) for name, df in jobs.read_marts().items()} == partial
+
+
+def test_mark_is_read_without_a_scan_and_lags_safely(spark, source, jobs, monkeypatch):
+    from strata import files
+    from strata.plans import medallion
+
+    jobs.run(source, NOW)
+    assert files.read_text(spark, jobs.mark_path) == T1
+    monkeypatch.setattr(medallion, "watermark", lambda table: pytest.fail("scanned"))
+    assert jobs.run(source, NOW).rows["curated_statistics"] == 0
+    # As after a run that died between the upsert and the mark.
+    files.write_text(spark, jobs.mark_path, "1970-01-01T00:00:00Z")
+    before = sorted(jobs.statistics.read().collect())
+    jobs.run(source, NOW)
+    assert sorted(jobs.statistics.read().collect()) == before
+    assert files.read_text(spark, jobs.mark_path) == T1
+
+
+def test_report_counts_what_a_default_run_landed(tmp_path, source, jobs):
+    (tmp_path / "stats/region=gb").mkdir()
+    (tmp_path / "stats/region=gb/v.csv").write_text("video_id,trending_date,title,channel_title,views\nh1,17.14.11,T,C,5\nh2,17.14.11,T,C,5,x,y\n")
+    report = jobs.run(source, NOW)
+    assert report.rows["raw_statistics"] == 13 and report.landed == {"us": 12, "gb": 1} and report.quarantined == 2
+    files = {r["file"].rsplit("/", 1)[1]: (r["rows"], r["quarantined"]) for r in jobs.landed_counters().collect()}
+    assert files == {"a.json": (12, 0), "broken.json": (0, 1), "v.csv": (1, 1)}
+    report = jobs.run(source, NOW)
+    assert report.rows["raw_statistics"] == 0 and report.landed == {}
+
+
+@pytest.mark.parametrize("rescan", [False, True])
+def test_a_time_that_is_none_does_not_fail_later_runs(tmp_path, source, jobs, rescan):
+    write_json(tmp_path / "stats/region=us/odd.json", document([item("odd")], ts="not known"))
+    for _ in range(2):
+        jobs.run(source, NOW, rescan=rescan)
+    assert jobs.read_raw().where("video_id = 'odd'").select("_ingestion_timestamp").first()[0] == "not known"
+    assert jobs.statistics.read().where("video_id = 'odd'").count() == 0
+
+
+@pytest.mark.parametrize("rescan", [False, True])
+def test_csv_alone_is_something_landed(tmp_path, jobs, rescan):
+    for name in ("s/region=us", "r"):
+        (tmp_path / name).mkdir(parents=True)
+    (tmp_path / "s/region=us/v.csv").write_text("video_id,views\n")
+    source = Landing(str(tmp_path / "s"), str(tmp_path / "r"))
+    with pytest.raises(QualityError):
+        jobs.run(source, NOW, rescan=rescan)

@@ -486,3 +486,137 @@ ORACLES["land_null_region"] = """
 select case when event_id % 3 <> 0 then event_type else 'unknown' end as region, count(*) as n,
   cast(sum(cast(json_extract(props, '$.k') as bigint)) as bigint) as views
 from events group by 1"""
+
+# ── mixed, broken and repeated landings ────────────────────────────────────
+
+ORACLES["mixed_landing"] = f"""with {ITEMS}
+select cast(event_id as varchar) as video_id, 'video ' || cast(user_id as varchar) as title, channel as channel_title,
+  cast(k % 40 as varchar) as category_id,
+  case when event_id % 2 = 1 then '24.01.02' else land end as trending_date_raw,
+  k as views, cast(floor(value) as bigint) as likes, props as description, event_type as region,
+  case when event_id % 2 = 1 then 'kaggle_historical' else 'youtube_api_v3' end as source, land as _ingestion_timestamp
+from (select *, '2024-02-01T0' || case when event_id % 4 < 2 then '6' else '7' end || ':30:00.000000+00:00' as land from items)"""
+ORACLES["csv_two_headers"] = """
+select cast(doc_id as varchar) as video_id, case when doc_id % 2 = 1 then source end as title, n_chars as views,
+  case when doc_id % 2 = 0 then text end as description, lang as region, cast(null as varchar) as bad
+from documents
+union all
+select 'r' || cast(doc_id as varchar), case when doc_id % 3 = 1 then 't, u' end, 7, null, 'xx', null from documents where doc_id % 3 < 2
+union all
+select null, '4 cells under a header of 3', null, null, 'xx', 'r' || cast(doc_id as varchar) || ',7,"t, u",more'
+from documents where doc_id % 3 = 2"""
+ORACLES["mistyped_item"] = f"""with {ITEMS},
+placed as (
+  select *, row_number() over (partition by event_id // 50 order by event_id) as place from items
+)
+select cast(event_id as varchar) as video_id, case when event_id % 10 <> 1 then 'video ' || cast(user_id as varchar) end as title,
+  case when event_id % 10 > 1 then tags end as tags, case when event_id % 10 <> 1 then k end as views,
+  cast(floor(value) as bigint) as likes, cast(null as varchar) as lost
+from items
+union all
+select cast(event_id as varchar), null, null, null, null, 'item ' || cast(place as varchar)
+  || case when event_id % 10 = 0 then ': snippet.tags' else ': snippet' end
+from placed where event_id % 10 < 2"""
+ORACLES["legacy_flatten"] = """
+select p_partkey as id, p_name as snippet_title, p_size > 25 as snippet_assignable,
+  case when p_partkey % 3 = 0 then cast(p_size as bigint) end as snippet_box_size,
+  case when p_partkey % 3 = 0 then p_type end as snippet_box_in,
+  case when p_partkey % 2 = 0 then p_brand end as brand_name, 0 as position
+from part"""
+ORACLES["run_counters"] = """
+select event_type as region, cast(count(*) as bigint) as rows,
+  cast(count(*) filter (event_id % 10 = 0) as bigint) as quarantined, case when event_id % 3 = 0 then 0 else 1 end as run
+from events group by all"""
+_RUN_NAMES = f"""
+names as (
+  select cast(p_size as varchar) as id, {_EVENT_TYPES}[cast(p_partkey % 5 + 1 as int)] as region,
+    min(p_brand || ' ' || p_type) as name
+  from part group by 1, 2
+)"""
+ORACLES["mixed_timestamps"] = f"""with {ITEMS},
+landed as (
+  select event_type as region, k as views, cast(floor(value) as bigint) as likes,
+    case when event_id % 5 <> 0 then k % 13 else 0 end as comments
+  from items
+)
+select region, date '2024-02-01' as trending_date_parsed, count(*) as total_videos, cast(sum(views) as bigint) as total_views,
+  cast(sum(likes) as bigint) as total_likes, cast(sum(comments) as bigint) as total_comments,
+  {_mean("avg(case when views > 0 then cast(likes + comments as double) / views else 0.0 end)")} as avg_engagement_rate,
+  {_mean("avg(case when views > 0 then cast(likes as double) / views else 0.0 end)")} as avg_like_ratio
+from landed group by region"""
+ORACLES["reference_twice"] = f"""with {_RUN_NAMES}
+select id, name as title, region, 'youtube_api_v3' as source, '2024-02-01T06:30:00.000000+00:00' as _ingestion_timestamp from names
+union all
+select id, 'new ' || name, region, 'youtube_api_v3', '2024-02-02T06:30:00.000000+00:00' from names where cast(id as int) % 2 = 0"""
+ORACLES["changed_days_equal"] = f"""with {ITEMS}, {_RUN_NAMES},
+rolled as (
+  select event_type as region, case when event_id % 3 < 2 then date '2024-02-01' else date '2024-02-02' end as trending_date_parsed,
+    cast(k % 40 as varchar) as category_id, count(*) as total_videos, cast(sum(k) as bigint) as total_views
+  from items group by all
+)
+select r.region, trending_date_parsed, category_id,
+  coalesce(case when cast(id as int) % 7 = 0 then 'new ' || name else name end, 'Unknown') as category_name,
+  total_videos, total_views,
+  {_mean("cast(total_views as double) * 100.0 / nullif(cast(sum(total_views) over (partition by r.region, trending_date_parsed) as double), 0)")} as view_share_pct
+from rolled r left join names n on r.category_id = n.id and r.region = n.region"""
+
+# ── operators that a run is made of ────────────────────────────────────────
+
+ORACLES["run_report"] = f"""with {ITEMS}, {_RUN_NAMES},
+stated as (
+  select 'raw_statistics' as name, (select count(*) from items) + (select count(*) from items where event_id % 4 = 0) as n
+  union all select 'raw_reference_data', (select count(*) from names)
+  union all select 'curated_statistics', (select count(*) from items)
+  union all select 'removed_statistics', (select count(*) from items where event_id % 4 = 0)
+  union all select 'curated_reference_data', (select count(*) from names)
+  union all select 'trending_analytics', (select count(distinct event_type) from items)
+  union all select 'channel_analytics', (select count(*) from (select distinct event_type, channel from items))
+  union all select 'category_analytics', (select count(*) from (select distinct event_type, k % 40 from items))
+  union all select 'quarantined', 0
+  union all select 'warning title_nulls', (select count(*) from items where event_id % 50 = 0)
+  union all select 'landed ' || event_type, count(*) + count(*) filter (event_id % 4 = 0) from items group by event_type
+)
+select name, cast(n as bigint) as n from stated"""
+ORACLES["failing_gate"] = """
+select 'curated_statistics' as table_name, 'null_percentage' as check_name, 'title' as column_name, cast(0 as integer) as marts"""
+ORACLES["older_run"] = ORACLES["legacy_channel"]
+ORACLES["api_shape"] = f"""with {ITEMS}
+select cast(event_id as varchar) as video_id, '24.01.02' as trending_date, 'video ' || cast(user_id as varchar) as title,
+  channel as channel_title, k % 40 as category_id, iso as publish_time, cast(null as varchar) as tags, k as views,
+  cast(floor(value) as bigint) as likes, cast(0 as bigint) as dislikes, comments as comment_count,
+  cast(null as varchar) as thumbnail_link, false as comments_disabled, false as ratings_disabled,
+  false as video_error_or_removed, cast(null as varchar) as description, event_type as region,
+  date '2024-02-01' as trending_date_parsed,
+  case when k > 0 then {_mean("cast(floor(value) as double) / k * 100", 4)} else 0.0 end as like_ratio,
+  case when k > 0 then {_mean("cast(floor(value) + comments as double) / k * 100", 4)} else 0.0 end as engagement_rate,
+  '2024-02-01T06:30:00.000000+00:00' as _processed_at, 'api' as _job_name
+from (select *, case when event_id % 5 <> 0 then k % 13 else 0 end as comments from items)"""
+ORACLES["isolated_regions"] = """
+select event_type as region,
+  case event_type when 'error' then 'trending' when 'signup' then 'categories' else 'success' end as outcome,
+  case when event_type <> 'error' then count(*) end as n
+from events group by event_type"""
+ORACLES["isolated_tables"] = f"""with {EVENTS}, {TRENDING}
+select 'curated' as table_name, 'row_count' as check_name, cast(null as varchar) as column_name, cast(count(*) as double) as value, count(*) >= 3 as passed from cur
+union all select 'curated', 'not_null', 'region', 0, true
+union all select 'daily', 'row_count', null, cast(count(*) as double), count(*) >= 3 from trend
+union all select 'daily', 'not_null', 'region', 0, true
+union all select 'absent', 'read_table', null, null, false"""
+ORACLES["sampled_check"] = f"""with {EVENTS}
+select 'row_count' as check_name, cast(null as varchar) as column_name, cast(least(500, count(*)) as double) as value, least(500, count(*)) >= 10 as passed from cur
+union all select 'not_null', 'video_id', 0, true"""
+ORACLES["optional_lookup"] = f"""with {EVENTS},
+roll as (
+  select region, trending_date_parsed, category_id, 'Unknown' as category_name, count(distinct video_id) as total_videos,
+    cast(sum(views) as bigint) as total_views
+  from cur group by region, trending_date_parsed, category_id
+)
+select *, {_mean("cast(total_views as double) * 100.0 / nullif(cast(sum(total_views) over (partition by region, trending_date_parsed) as double), 0)")} as view_share_pct
+from roll"""
+ORACLES["file_list"] = f"""select * from ({ORACLES["reference_landing"].replace("07:30", "06:30")}) where region in ('view', 'click')"""
+ORACLES["catalog_table"] = f"""with {SALES}
+select channel_title, region, count(distinct video_id) as total_videos, cast(sum(views) as bigint) as total_views,
+  {_mean("avg(engagement_rate)")} as avg_engagement_rate
+from st where channel_title is not null group by channel_title, region"""
+ORACLES["client_rows"] = f"""with {SALES}
+select region, cast(cast(sum(views) as bigint) as varchar) as total_views, '' as note from st where channel_title is not null group by region"""

@@ -15,7 +15,9 @@ from strata.operators.incremental import newer_than, watermark
 from strata.operators.rank import top_within
 from strata.plans import serve
 from strata.plans.medallion import Landing, Medallion
+from strata.plans.older import OlderMedallion
 from strata.schemas import (
+    COUNTERS,
     CURATED_KEY,
     CURATED_STATISTICS,
     RAW_STATISTICS,
@@ -197,7 +199,7 @@ def trending_summary(spark, d):
 
 @query
 def daily_counts(spark, d):
-    mart = legacy.trending(_legacy_clean(spark, d), NOW)
+    mart = legacy.trending(_legacy_clean(spark, d), None, NOW)
     out = serve.daily_counts(mart, ["region", "trending_date_parsed", "total_videos", "avg_views_per_video"])
     return _rounded(out, "avg_views_per_video")
 
@@ -326,21 +328,21 @@ def legacy_clean(spark, d):
 
 @query
 def legacy_trending(spark, d):
-    mart = legacy.trending(_legacy_clean(spark, d), NOW).drop("_aggregated_at")
+    mart = legacy.trending(_legacy_clean(spark, d), None, NOW).drop("_aggregated_at")
     return _rounded(mart, "avg_views_per_video", "avg_like_ratio", "avg_engagement_rate", digits=4)
 
 
 @query
 def legacy_channel(spark, d):
-    stats = legacy.with_category(stage(_legacy_clean(spark, d), "silver"), _legacy_lookup(spark, d))
-    mart = legacy.channel(stats, NOW).drop("_aggregated_at")
+    stats = stage(_legacy_clean(spark, d), "silver")
+    mart = legacy.channel(stats, _legacy_lookup(spark, d), NOW).drop("_aggregated_at")
     return _rounded(mart, "avg_views_per_video", "avg_engagement_rate", digits=4)
 
 
 @query
 def legacy_category(spark, d):
-    stats = legacy.with_category(_legacy_clean(spark, d), _legacy_lookup(spark, d))
-    return _rounded(legacy.category(stats, NOW).drop("_aggregated_at"), "avg_engagement_rate", digits=4)
+    mart = legacy.category(_legacy_clean(spark, d), _legacy_lookup(spark, d), NOW).drop("_aggregated_at")
+    return _rounded(mart, "avg_engagement_rate", digits=4)
 
 
 @query
@@ -478,6 +480,134 @@ def bad_lines(spark, d):
     return rows.unionByName(bad)
 
 
+def _write_csv(df: DataFrame, path: str) -> None:
+    """As historical files are: header, quotes doubled, texts with line breaks as they are."""
+    options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("append").partitionBy("region").options(**options).csv(path)
+
+
+def _history_cells(items: DataFrame) -> DataFrame:
+    """Snapshot items as cells of the historical shape."""
+    return items.select(
+        F.col("item.id").alias("video_id"),
+        F.lit("24.01.02").alias("trending_date"),
+        F.col("item.snippet.title").alias("title"),
+        F.col("item.snippet.channelTitle").alias("channel_title"),
+        F.col("item.snippet.categoryId").alias("category_id"),
+        F.col("item.statistics.viewCount").alias("views"),
+        F.col("item.statistics.likeCount").alias("likes"),
+        F.col("item.snippet.description").alias("description"),
+        C.clean_region(F.col("region")).alias("region"),
+    )
+
+
+@query
+def mixed_landing(spark, d):
+    """One folder tree with JSON, CSV and other files; the stream takes each file once in three runs."""
+    root = scratch_path(spark, "mixed")
+    items = base.snapshot_items(spark, d)
+    paths = f"{root}/landing", f"{root}/raw", f"{root}/checkpoint"
+    first, second = items.where("event_id % 4 < 2"), items.where("event_id % 4 >= 2")
+    for wave, now in ((first, NOW), (second, LATER)):
+        landing.land_snapshots(wave.where("event_id % 2 = 0").select("region", "item"), paths[0], now)
+        _write_csv(_history_cells(wave.where("event_id % 2 = 1")), paths[0])
+        wave.select(F.col("item.id").alias("value")).write.mode("append").text(f"{paths[0]}/region=xx")
+        ingest.ingest_available(spark, *paths, landing.iso_now(now), multi_line=False)
+    ingest.ingest_available(spark, *paths, landing.iso_now(LATER), multi_line=False)
+    return ingest.read_ingested(spark, paths[1]).select(
+        "video_id", "title", "channel_title", "category_id", "trending_date_raw", "views", "likes", "description",
+        "region", "source", "_ingestion_timestamp",
+    )
+
+
+@query
+def csv_two_headers(spark, d):
+    """CSV files of two headers in one folder beside broken ones: all good rows, and each bad one's text."""
+    path = scratch_path(spark, "headers")
+    docs = base.table(spark, d, "documents").withColumn("video_id", F.col("doc_id").cast("string"))
+    views = F.col("n_chars").cast("string").alias("views")
+    even, odd = docs.where("doc_id % 2 = 0"), docs.where("doc_id % 2 = 1")
+    _write_csv(even.select("video_id", F.col("text").alias("description"), views, F.col("lang").alias("region")), path)
+    _write_csv(odd.select(views, F.col("source").alias("title"), "video_id", F.col("lang").alias("region")), path)
+    # Lines as they are: a cell too few for one id in three, too many for another.
+    more = F.when(F.col("doc_id") % 3 == 0, ",7").when(F.col("doc_id") % 3 == 1, ',7,"t, u"').otherwise(',7,"t, u",more')
+    line = F.concat(F.lit("r"), F.col("video_id"), more).alias("video_id,views,title")
+    docs.select(line).write.options(header=True, sep="\x01", quote="").csv(f"{path}/region=xx")
+    rows, bad = landing.read_history(spark, path, landing.iso_now(NOW))
+    kept = rows.select("video_id", "title", "views", "description", "region", F.lit(None).cast("string").alias("bad"))
+    none = F.lit(None).cast("string")
+    lost = bad.select(
+        none.alias("video_id"), F.col("error").alias("title"), none.cast("bigint").alias("views"), none.alias("description"),
+        C.region_from_path(F.col("key")).alias("region"), F.trim("content").alias("bad"),
+    )
+    return kept.unionByName(lost)
+
+
+@query
+def mistyped_item(spark, d):
+    """Documents of up to 50 items, some with a field of another type: all items stay, and what each lost."""
+    path = scratch_path(spark, "mistyped")
+    items = base.snapshot_items(spark, d)
+    number, mended = F.col("event_id"), F.to_json("item")
+    odd_tags = F.to_json(F.col("item").withField("snippet", F.col("item.snippet").dropFields("tags").withField("tags", F.lit("a b"))))
+    odd_views = F.to_json(F.col("item").withField("statistics.viewCount", F.array(F.lit(1))).withField("snippet", F.lit(7)))
+    text = F.when(number % 10 == 0, odd_tags).when(number % 10 == 1, odd_views).otherwise(mended)
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct(number, text.alias("text")))), lambda x: x["text"])
+    docs = items.groupBy(F.floor(number / 50)).agg(F.array_join(ordered, ",").alias("items"))
+    docs.select(F.concat(F.lit('{"items": ['), "items", F.lit("]}"))).write.text(f"{path}/region=xx")
+    read = landing.read_documents(spark, path, SNAPSHOT_DOCUMENT, multi_line=False, glob="*.txt")
+    none = F.lit(None).cast("string")
+    rows = landing.normalize_snapshots(read, "t0").select("video_id", "title", "tags", "views", "likes", none.alias("lost"))
+    lost = landing.quarantine(read).select(
+        F.get_json_object("content", "$.id").alias("video_id"),
+        none.alias("title"), none.alias("tags"), none.cast("bigint").alias("views"), none.cast("bigint").alias("likes"),
+        F.col("error").alias("lost"),
+    )
+    return rows.unionByName(lost)
+
+
+@query
+def legacy_flatten(spark, d):
+    """Category documents with keys that vary from item to item, flattened to the columns that occur."""
+    path = scratch_path(spark, "flatten")
+    part = base.table(spark, d, "part")
+    sizes = F.when(F.col("p_partkey") % 3 == 0, F.struct(F.col("p_size").alias("size"), F.col("p_type").alias("in")))
+    item = F.struct(
+        F.col("p_partkey").alias("id"),
+        F.struct(F.col("p_name").alias("title"), (F.col("p_size") > 25).alias("assignable"), sizes.alias("box")).alias("snippet"),
+        F.when(F.col("p_partkey") % 2 == 0, F.col("p_brand")).alias("brand name"),
+    )
+    itself = F.to_json(item)
+    listed = F.concat(F.lit('{"items": ['), itself, F.lit("]}"))
+    part.select(F.when(F.col("p_partkey") % 5 == 0, itself).otherwise(listed)).write.text(f"{path}/region=xx")
+    flat = landing.flatten_items(landing.read_items(spark, path, multi_line=False, glob="*.txt"))
+    return flat.select(*[F.col(f"`{c}`").alias(c.replace(".", "_").replace(" ", "_")) for c in flat.columns if c != "_source_file"])
+
+
+@query
+def run_counters(spark, d):
+    """Three runs of the stream over a growing landing area: rows and quarantine records by run and region."""
+    root = scratch_path(spark, "counters")
+    items = base.snapshot_items(spark, d)
+    where = f"{root}/landing"
+    runs = []
+    waves = (items.where("event_id % 3 = 0"), NOW), (items.where("event_id % 3 > 0"), LATER), (None, LATER)
+    for number, (rows, now) in enumerate(waves):
+        if rows is not None:
+            landing.land_snapshots(rows.where("event_id % 2 = 0").select("region", "item"), where, now)
+            _write_csv(_history_cells(rows.where("event_id % 2 = 1")), where)
+            broken = rows.where("event_id % 10 = 0").select(F.lit("no list").alias("items"), C.clean_region(F.col("region")).alias("region"))
+            broken.write.mode("append").partitionBy("region").json(where)
+        taken = ingest.ingest_available(
+            spark, where, f"{root}/raw", f"{root}/checkpoint", landing.iso_now(now), multi_line=False,
+            quarantine_path=f"{root}/bad", counters_path=f"{root}/counters",
+        )
+        counters = ingest.read_batches(spark, f"{root}/counters", COUNTERS, taken)
+        sums = counters.groupBy("region").agg(F.sum("rows").alias("rows"), F.sum("quarantined").alias("quarantined"))
+        runs.append(sums.withColumn("run", F.lit(number)))
+    return runs[0].unionByName(runs[1]).unionByName(runs[2])
+
+
 def _two_waves(spark, d, times):
     root = scratch_path(spark, "streamed")
     events = base.table(spark, d, "events")
@@ -526,18 +656,208 @@ def land_null_region(spark, d):
 
 @query
 def whole_run(spark, d):
-    """Landing to marts in one run, with its checks; the channel mart.
+    """Landing to marts in one run, with its checks; the channel mart."""
+    items = _named_items(spark, d).select("region", "item")
+    jobs, source = _landed_run(spark, scratch_path(spark, "run"), items, _names(spark, d))
+    jobs.run(source, NOW)
+    return _rounded(jobs.read_marts()["channel_analytics"], "avg_engagement_rate")
 
-    Every item gets a channel name, so that the null check lets the run go on.
-    """
-    root = scratch_path(spark, "run")
+
+def _landed_run(spark, root, items, names, now=NOW):
+    landing.land_snapshots(items, f"{root}/stats", now)
+    item = F.struct(F.col("id"), F.struct("title").alias("snippet"))
+    landing.land_reference(names.select("region", item.alias("item")), f"{root}/ref", now)
+    return Medallion(spark, Lake(spark, f"{root}/lake")), Landing(f"{root}/stats", f"{root}/ref", multi_line=False)
+
+
+def _named_items(spark, d):
+    """Items that all have a channel name, so that the null check lets a run go on."""
     channel = F.coalesce("item.snippet.channelTitle", F.lit("no name"))
-    named = F.col("item").withField("snippet.channelTitle", channel)
-    items = base.snapshot_items(spark, d).select("region", named.alias("item"))
-    landing.land_snapshots(items, f"{root}/stats", NOW)
-    names = base.part_reference(spark, d).groupBy("id", "region").agg(F.min("title").alias("title"))
+    return base.snapshot_items(spark, d).select("event_id", "region", F.col("item").withField("snippet.channelTitle", channel).alias("item"))
+
+
+def _names(spark, d):
+    return base.part_reference(spark, d).groupBy("id", "region").agg(F.min("title").alias("title"))
+
+
+@query
+def mixed_timestamps(spark, d):
+    """A run over landings of which one has a time that is none: the daily mart, and a second run adds nothing."""
+    root = scratch_path(spark, "times")
+    items = _named_items(spark, d).select("region", "item")
+    jobs, source = _landed_run(spark, root, items, _names(spark, d))
+    odd = items.select(
+        C.clean_region(F.col("region")).alias("region"), F.array("item").alias("items"),
+        F.struct(F.lit("not known").alias("ingestion_timestamp")).alias("_pipeline_metadata"),
+    )
+    odd.write.mode("append").partitionBy("region").json(f"{root}/stats")
+    jobs.run(source, NOW)
+    jobs.run(source, LATER)
+    return _rounded(jobs.read_marts()["trending_analytics"], "avg_engagement_rate", "avg_like_ratio")
+
+
+@query
+def reference_twice(spark, d):
+    """Category documents landed, loaded in two runs, one landing changed in between: each content once."""
+    root = scratch_path(spark, "twice")
+    names = _names(spark, d)
+    jobs, source = _landed_run(spark, root, _named_items(spark, d).select("region", "item"), names)
+    jobs.run(source, NOW)
+    jobs.run(source, NOW)
+    more = names.where("cast(id as int) % 2 = 0").withColumn("title", F.concat(F.lit("new "), "title"))
     item = F.struct(F.col("id"), F.struct("title").alias("snippet"))
-    landing.land_reference(names.select("region", item.alias("item")), f"{root}/ref", NOW)
-    jobs = Medallion(spark, Lake(spark, f"{root}/lake"))
-    jobs.run(Landing(f"{root}/stats", f"{root}/ref", multi_line=False), NOW)
-    return _rounded(jobs.read_marts()["channel_analytics"], "avg_engagement_rate")
+    day_after = datetime(2024, 2, 2, 6, 30, 0, tzinfo=timezone.utc)
+    landing.land_reference(more.select("region", item.alias("item")), f"{root}/ref", day_after)
+    jobs.run(source, LATER)
+    return jobs.raw_reference.read().drop("_source_file")
+
+
+@query
+def changed_days_equal(spark, d):
+    """Marts of changed days after new rows and new category names: the category mart equals a full build."""
+    root = scratch_path(spark, "changed")
+    items, names = _named_items(spark, d), _names(spark, d)
+    jobs, source = _landed_run(spark, root, items.where("event_id % 3 < 2").select("region", "item"), names)
+    jobs.run(source, NOW, changed_days=True)
+    day_after = datetime(2024, 2, 2, 6, 30, 0, tzinfo=timezone.utc)
+    renamed = names.where("cast(id as int) % 7 = 0").withColumn("title", F.concat(F.lit("new "), "title"))
+    jobs, source = _landed_run(spark, root, items.where("event_id % 3 = 2").select("region", "item"), renamed, day_after)
+    jobs.run(source, day_after, changed_days=True)
+    return _rounded(jobs.read_marts()["category_analytics"], "view_share_pct")
+
+
+@query
+def run_report(spark, d):
+    """What a run says of itself: rows of each table, removed rows, warnings, rows landed by region."""
+    root = scratch_path(spark, "report")
+    items = _named_items(spark, d)
+    title = F.when(F.col("event_id") % 50 != 0, F.col("item.snippet.title"))
+    items = items.withColumn("item", F.col("item").withField("snippet.title", title))
+    twice = items.unionByName(items.where("event_id % 4 = 0")).select("region", "item")
+    jobs, source = _landed_run(spark, root, twice, _names(spark, d))
+    report = jobs.run(source, NOW)
+    rows = [*report.rows.items(), ("quarantined", report.quarantined)]
+    rows += [(f"landed {region}", n) for region, n in report.landed.items()] + [(f"warning {name}", n) for name, n in report.warnings.items()]
+    return spark.createDataFrame(rows, "name string, n bigint")
+
+
+@query
+def failing_gate(spark, d):
+    """A run whose curated rows fail a check: the failed check, and that no mart was built."""
+    root = scratch_path(spark, "gate")
+    untitled = F.col("item").withField("snippet.title", F.lit(None).cast("string"))
+    items = _named_items(spark, d).select("region", untitled.alias("item"))
+    jobs, source = _landed_run(spark, root, items, _names(spark, d))
+    try:
+        jobs.run(source, NOW)
+        failed = []
+    except quality.QualityError as problem:
+        failed = [(f["table_name"], f["check_name"], f["column_name"]) for f in problem.failed]
+    marts = sum(table.exists() for table in jobs.marts.values())
+    return spark.createDataFrame([(*f, marts) for f in failed], "table_name string, check_name string, column_name string, marts int")
+
+
+@query
+def older_run(spark, d):
+    """The older profile from files to its registered channel table."""
+    root = scratch_path(spark, "older")
+    jobs = OlderMedallion(spark, Lake(spark, root), "strata_older")
+    jobs.clean_statistics(base.events_legacy(spark, d).withColumn("region", F.lower(F.trim("region"))), NOW, "older", base.EVENT_TYPES)
+    item = F.struct(F.col("id"), F.struct("title").alias("snippet"))
+    landing.land_reference(_names(spark, d).select("region", item.alias("item")), f"{root}/ref", NOW)
+    jobs.clean_reference(f"{root}/ref", "2024-02-01T06:30:00", multi_line=False)
+    jobs.build_gold(NOW)
+    return _rounded(spark.table("strata_older.channel_analytics").drop("_aggregated_at"), "avg_views_per_video", "avg_engagement_rate", digits=4)
+
+
+@query
+def api_shape(spark, d):
+    """Flattened API columns, told from the flat shape by their names, through the older cleaning."""
+    items = base.snapshot_items(spark, d).select("region", "item")
+    flat = items.select(
+        F.col("item.id").alias("id"),
+        *[F.col(f"item.snippet.{c}").alias(f"snippet.{c}") for c in ("title", "channelTitle", "categoryId", "publishedAt")],
+        *[F.col(f"item.statistics.{c}").alias(f"statistics__{c}") for c in ("viewCount", "likeCount", "commentCount")],
+        "region",
+    )
+    cleaned = legacy.clean(flat, NOW, "api")
+    return _rounded(cleaned.withColumn("_processed_at", C.utc_iso(F.col("_processed_at"))), "like_ratio", "engagement_rate", digits=4)
+
+
+@query
+def isolated_regions(spark, d):
+    """Landing region by region, two of which fail: what landed, and what did not."""
+    root = scratch_path(spark, "regions")
+    items = base.snapshot_items(spark, d).withColumn("region", C.clean_region(F.col("region")))
+    names = _names(spark, d).withColumn("region", F.lower("region"))
+
+    def snapshots(region: str) -> DataFrame:
+        if region == "error":
+            raise OSError("no answer")
+        return items.where(F.col("region") == region).select("item")
+
+    def categories(region: str) -> DataFrame:
+        if region == "signup":
+            raise OSError("no answer")
+        return names.where(F.col("region") == region).select(F.struct("id", F.struct("title").alias("snippet")).alias("item"))
+
+    report = landing.land_regions([f" {r.upper()}" for r in base.EVENT_TYPES], snapshots, categories, f"{root}/stats", f"{root}/ref", NOW)
+    told = [(r, "success") for r in report.success] + [(f["region"], f["type"]) for f in report.failed]
+    told = spark.createDataFrame(told, "region string, outcome string")
+    read = landing.read_snapshots(spark, f"{root}/stats", "t0", multi_line=False).groupBy("region").agg(F.count(F.lit(1)).alias("n"))
+    return told.join(read, "region", "left")
+
+
+@query
+def isolated_tables(spark, d):
+    """Checks of several tables, one of which cannot be read."""
+    curated = _curated(spark, d)
+    tables = {
+        "curated": lambda: curated,
+        "daily": lambda: enrich.trending_analytics(curated, keyed=True),
+        "absent": Table(spark, scratch_path(spark, "none")).read,
+    }
+    report = quality.run_all(spark, tables, lambda df, name: quality.run(df, name, [quality.row_count(3), quality.not_null("region")]))
+    return report.select("table_name", "check_name", "column_name", "value", "passed")
+
+
+@query
+def sampled_check(spark, d):
+    """Checks of a bounded sample, as the older profile made them."""
+    checks = [quality.row_count(10), quality.not_null("video_id")]
+    return quality.run(_curated(spark, d), "curated_statistics", checks, sample=500).select("check_name", "column_name", "value", "passed")
+
+
+@query
+def optional_lookup(spark, d):
+    """The category mart where the lookup table is absent."""
+    return _rounded(enrich.category_analytics(_curated(spark, d), None, keyed=True), "view_share_pct")
+
+
+@query
+def file_list(spark, d):
+    """Category documents of the files that are named, out of a folder with more."""
+    path = scratch_path(spark, "files")
+    item = F.struct(F.col("id"), F.struct(F.col("title")).alias("snippet"))
+    landing.land_reference(base.part_reference(spark, d).select("region", item.alias("item")), path, NOW)
+    named = [f for region in ("view", "click") for f in spark.read.text(f"{path}/region={region}").inputFiles()]
+    return landing.read_reference(spark, named, "", multi_line=False).drop("_source_file")
+
+
+@query
+def catalog_table(spark, d):
+    """A mart in a layer of its own name, registered and read from the catalog, replaced once."""
+    lake = Lake(spark, scratch_path(spark, "lake"), {"enriched": " marts "})
+    mart = lake.table("enriched", "channels", ["region"])
+    totals = enrich.channel_totals(base.sales(spark, d))
+    mart.replace(totals.where("region = 'asia'"), register="strata_marts.channels")
+    mart.replace(totals, register="strata_marts.channels")
+    return _rounded(spark.table("strata_marts.channels"), "avg_engagement_rate")
+
+
+@query
+def client_rows(spark, d):
+    """Region totals as a client gets them: texts, with nothing for null."""
+    totals = serve.views_by(enrich.channel_totals(base.sales(spark, d)), "region")
+    found = serve.rows(totals.withColumn("note", F.lit(None).cast("string")), 100, as_text=True)
+    return spark.createDataFrame([(r["region"], r["total_views"], r["note"]) for r in found], "region string, total_views string, note string")
