@@ -2,7 +2,9 @@
 
 A row whose lower-cased text holds none of the gate words is settled at once.
 Otherwise each rule whose keyword the text holds runs its pattern over the whole
-text; its matches become intervals.  Longer intervals win over those inside
+text; its matches become intervals.  Gate words and keywords are looked up in a
+copy with each run of white space folded to one space, as the patterns allow any
+white space between words: a name broken over a line activates its rule.  Longer intervals win over those inside
 them, and among equal ones the rule with the higher priority wins.
 
 Base phrases (fixed by the contract of the query) are found over words, which
@@ -212,16 +214,17 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     (code points of the lower-cased text), priority, label and weight.
     """
     rules = signature_rules()
-    gate = reduce(lambda a, b: a | b, [F.contains(F.col("low"), F.lit(w)) for w in gate_words(rules)])
+    gate = reduce(lambda a, b: a | b, [F.contains(F.col("folded"), F.lit(w)) for w in gate_words(rules)])
     rows = docs.select(
         F.col(f"`{doc_id}`").alias("doc_id"),
         F.lower(or_empty(text)).alias("low"),
         F.regexp_count(or_empty(text), F.lit(WORD)).cast("bigint").alias("n_words"),
-    ).withColumn("gated", gate)
+    )
+    rows = rows.withColumn("folded", F.regexp_replace("low", r"\s+", " ")).withColumn("gated", gate)
     worded = rows.withColumn(
         "words", F.when(F.col("gated"), F.array_remove(F.split("low", NOT_WORD), "")).otherwise(F.array().cast("array<string>"))
     )
-    active = F.filter(_literal_rules(rules), lambda r: F.contains(F.col("low"), r["keyword"]))
+    active = F.filter(_literal_rules(rules), lambda r: F.contains(F.col("folded"), r["keyword"]))
     hits = F.flatten(F.transform(active, lambda r: _intervals(F.col("low"), r)))
     found = worded.select(
         "doc_id",

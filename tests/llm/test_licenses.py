@@ -19,6 +19,16 @@ TEXTS = [
     "Permission is hereby granted, free of charge, to any person obtaining a copy",
 ]
 
+BROKEN = [
+    "GNU Lesser General\nPublic License, version 2.1",
+    "the Mozilla Public\n  License",
+    "all rights\r\nreserved",
+    "permission is hereby granted, free of\ncharge, to any person obtaining\ta copy",
+    "Redistribution\nand use in source and binary forms, with or\nwithout modification, are permitted",
+    "Eclipse\n\nPublic\tLicense",
+    "placed into the public\ndomain",
+]
+
 
 def brute(text):
     words = WORD.findall((text or "").translate(LOWER))
@@ -55,9 +65,8 @@ def test_longer_and_prior_detections_win(spark):
 def brute_hits(text):
     low = text.lower()
     hits = []
-    for keyword, pattern, label, priority, weight in licenses.signature_rules():
-        if keyword in low:
-            hits += [(m.start(), m.end(), priority, label) for m in re.finditer(pattern, low, re.ASCII)]
+    for _, pattern, label, priority, _ in licenses.signature_rules():
+        hits += [(m.start(), m.end(), priority, label) for m in re.finditer(pattern, low, re.ASCII)]
     kept, end = [], -1
     for h in sorted(hits, key=lambda h: (h[0], -h[1], -h[2], h[3])):
         if h[1] > end:
@@ -67,11 +76,16 @@ def brute_hits(text):
 
 
 def test_detections_against_ungated_brute_force(spark):
-    texts = TEXTS + [" x\n".join(TEXTS), "é " + " ".join(TEXTS[::-1]) + " ü"]
+    texts = TEXTS + BROKEN + [" x\n".join(TEXTS), "é " + " ".join(TEXTS[::-1]) + " ü"]
     for r in licenses.scan(cases.docs(spark, texts)).collect():
         assert [(d.start, d.end, d.priority, d.label) for d in r.detections] == brute_hits(texts[r.doc_id])
 
 
+def test_names_broken_over_lines_are_found(spark):
+    found = {r.doc_id: [d.label for d in r.detections] for r in licenses.scan(cases.docs(spark, BROKEN)).collect()}
+    assert found == {0: ["lgpl-2.1"], 1: ["mpl"], 2: ["proprietary"], 3: ["mit"], 4: ["bsd"], 5: ["epl"], 6: ["public-domain"]}
+
+
 def test_rules(spark):
     rules = licenses.signature_rules()
     assert len(rules) > 300
