@@ -3,16 +3,18 @@
 Labelled credentials (the values that the fixed base patterns find) are a bounded
 sample for one automaton per kind: their prefix tree is folded by merging states
 whose outgoing symbols and endings are statistically compatible (Hoeffding
-bounds), which leaves a probabilistic automaton of the format.  Every other
-candidate token of the corpus is then scored by its likelihood per symbol under
-each automaton; one that is as likely as the credentials themselves is reported.
-
-Symbols are classes of characters, so an automaton has few arcs and its format
-is learned from few examples.
-
-The sample is at most ``SAMPLE`` values per kind, the smallest by hash of the
-value, so it does not depend on the order or placing of rows.  All rows are
-scanned, each where it lies.  A null text is read as empty; repeated rows are
+bounds), which leaves a probabilistic automaton of the format.  Every other run of
+the credentials' alphabet and least length is then scored by its likelihood per
+character under each automaton, and under a model of ordinary runs: one that is as
+likely as the credentials themselves, and more so than as an ordinary run, is reported.
+
+Symbols of an automaton are classes of characters, so it has few arcs and its format
+is learned from few examples.  Ordinary runs are those too short for a credential;
+pairs of letters tell how they are made.
+
+The samples are at most ``SAMPLE`` values per kind and ``ORDINARY`` other runs, the
+smallest by hash of the value, so they do not depend on the order or placing of rows.
+All rows are scanned, each where it lies, texts of any length whole.  A null text is read as empty; repeated rows are
 scanned each for itself; other columns are ignored; without any credential in
 the table there is no automaton and only base spans are reported.
 """
@@ -21,16 +23,19 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
+from heapq import nsmallest
 from math import log, sqrt
+from zlib import crc32
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from strata.llm.common import or_empty, slices, smallest
+from strata.llm.common import or_empty, slices, smallest, stage
 
 SAMPLE = 1000
 ALPHA = 0.05
@@ -49,8 +54,14 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 ASSIGN_LEAST = 12
 
-# Other tokens that are scored: long, and with digits and letters.
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{16,}")
+# Every run of the alphabet of labelled values, as long as those are, is scored.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % ASSIGN_LEAST)
+# Shorter runs are ordinary ones; at most ORDINARY of them are learned from.
+RUN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{4,%d}(?![A-Za-z0-9+/_.=-])" % (ASSIGN_LEAST - 1))
+ORDINARY = 5000
+PLAIN = "ordinary"
+# Verdicts on candidates that a worker keeps.
+KNOWN_CANDIDATES = 200_000
 
 
 def base_spans(text: str) -> list[tuple[str, int, int, str]]:
@@ -200,59 +211,110 @@ def learn(values: Sequence[str]) -> Automaton:
     return Automaton(arcs, ends, scored[int((1 - REACHED) * len(scored))])
 
 
-def credentials(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> dict[str, list[str]]:
-    """The labelled values per kind, at most ``sample`` each."""
+class Ordinary:
+    """Log likelihood of a character in ordinary runs: pairs of letters, backed off to letters."""
+
+    def __init__(self, runs: Sequence[str]):
+        self.pairs: dict[str, int] = defaultdict(int)
+        self.firsts: dict[str, int] = defaultdict(int)
+        self.letters: dict[str, int] = defaultdict(int)
+        for run in runs:
+            for a, b in zip("\n" + run, run + "\n"):
+                self.pairs[a + b] += 1
+                self.firsts[a] += 1
+                self.letters[b] += 1
+        self.total = sum(self.letters.values())
+
+    def score(self, value: str) -> float:
+        total = 0.0
+        for a, b in zip("\n" + value, value + "\n"):
+            letter = (self.letters.get(b, 0) + 1) / (self.total + 68)
+            total += log((self.pairs.get(a + b, 0) + 8 * letter) / (self.firsts.get(a, 0) + 8))
+        return total / (len(value) + 1)
+
+
+@dataclass(frozen=True)
+class Model:
+    automata: dict[str, Automaton]
+    ordinary: Ordinary
+
+    def worth(self, value: str) -> float:
+        """How far the best automaton takes the value for its format; negative: none does."""
+        best = float("-inf")
+        for automaton in self.automata.values():
+            likely = automaton.score(value)
+            if likely >= automaton.passing:
+                best = max(best, likely)
+        return best - self.ordinary.score(value) if best > float("-inf") else best
+
+
+def samples(docs: DataFrame, text: str = "text", sample: int = SAMPLE, ordinary: int = ORDINARY) -> dict[str, list[str]]:
+    """The labelled values per kind, at most ``sample`` each, and ``ordinary`` other runs."""
     rows = docs.select(or_empty(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            found = {(kind, value) for t in part.column("text").to_pylist() for kind, _, _, value in base_spans(t)}
+            found, runs = set(), set()
+            for t in part.column("text").to_pylist():
+                found.update((kind, value) for kind, _, _, value in base_spans(t))
+                runs.update(RUN.findall(t))
+            # No other run of the slice can be among the smallest of all.
+            found.update((PLAIN, v) for _, v in nsmallest(ordinary, ((crc32(v.encode()), v) for v in runs)))
             kinds, values = zip(*found) if found else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(values, pa.string())], ["kind", "value"])
 
     schema = StructType([StructField("kind", StringType()), StructField("value", StringType())])
-    values = rows.mapInArrow(run, schema).groupBy("kind", "value").agg(F.min(F.xxhash64("value")).alias("h"))
-    chosen = smallest(values, "kind", [F.col("h"), F.col("value")], sample)
+    values = rows.mapInArrow(run, schema).groupBy("kind", "value").agg(F.first(F.crc32(F.col("value").cast("binary"))).alias("h"))
+    values = stage(values, "samples")
     by_kind: dict[str, list[str]] = defaultdict(list)
-    for row in chosen.collect():
-        by_kind[row.kind].append(row.value)
+    for chosen, count in ((values.where(F.col("kind") != PLAIN), sample), (values.where(F.col("kind") == PLAIN), ordinary)):
+        for row in smallest(chosen, "kind", [F.col("h"), F.col("value")], count).collect():
+            by_kind[row.kind].append(row.value)
     return dict(by_kind)
 
 
-def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> dict[str, Automaton]:
-    return {kind: learn(values) for kind, values in credentials(docs, text, sample).items()}
+def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE, ordinary: int = ORDINARY) -> Model:
+    found = samples(docs, text, sample, ordinary)
+    plain = Ordinary(found.pop(PLAIN, []))
+    return Model({kind: learn(values) for kind, values in found.items()}, plain)
 
 
-def found_spans(text: str, base: Sequence[tuple], automata: dict[str, Automaton]) -> list[tuple[int, int, float]]:
-    """Candidates outside base spans that some automaton takes for its format."""
-    found, at = [], 0
-    if not automata:
-        return found
+def found_spans(text: str, base: Sequence[tuple], worth: Callable[[str], float]) -> list[tuple[int, int, float]]:
+    """Candidates outside base spans that are taken for a learned format.
+
+    A dot at either end of a run counts as the sentence's where the run alone passes
+    without it.
+    """
+    found = []
     for m in CANDIDATE.finditer(text):
         start, end = m.span()
         if any(s < end and start < e for _, s, e, _ in base):
             continue
-        best = max(a.score(m[0]) - a.passing for a in automata.values())
-        if best >= 0:
-            found.append((start, end, best))
+        inner = m[0].strip(".")
+        for value, at in ((inner, start + m[0].find(inner) if inner else start), (m[0], start)):
+            if len(value) >= ASSIGN_LEAST and (best := worth(value)) >= 0:
+                found.append((at, at + len(value), best))
+                break
     return found
 
 
 SPANS = "array<struct<kind:string,start:bigint,end:bigint>>"
 
 
-def scan(docs: DataFrame, automata: dict[str, Automaton], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def scan(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``base`` and ``found`` spans (kind, start, end in code points) of every row."""
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), or_empty(text).alias("text"))
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worth = lru_cache(maxsize=KNOWN_CANDIDATES)(model.worth)
         for part in slices(batches):
             base, found = [], []
             for t in part.column("text").to_pylist():
                 own = base_spans(t)
                 base.append([{"kind": k, "start": s, "end": e} for k, s, e, _ in own])
-                found.append([{"kind": FOUND, "start": s, "end": e} for s, e, _ in found_spans(t, own, automata)])
+                more = found_spans(t, own, worth) if model.automata else []
+                found.append([{"kind": FOUND, "start": s, "end": e} for s, e, _ in more])
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(base, span), pa.array(found, span)], ["doc_id", "base", "found"]
             )

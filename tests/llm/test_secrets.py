@@ -72,9 +72,59 @@ def test_unlabelled_secrets_of_a_learned_format_are_found(spark, tmp_path):
     assert all(r.found == [] for i, r in found.items() if i < 300)
 
 
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+FORMATS = {
+    "short": lambda draw: "".join(draw.choices(LETTERS, k=12)),
+    "dotted": lambda draw: ".".join("".join(draw.choices(LETTERS, k=4)) for _ in range(4)),
+    "letters": lambda draw: "".join(draw.choices("qwrtpsdfghjklzxcvbnmQWRTPSDFGHJKLZXCVBNM", k=18)),
+}
+
+
+def format_corpus(form, seed=11):
+    """Labelled values of one format, hidden ones of it, and plain prose with long words."""
+    draw = random.Random(seed)
+    made = lambda: FORMATS[form](draw)
+    syllables = ["ing", "tion", "the", "an", "er", "re", "on", "at", "en", "nd", "ti", "es"]
+    word = lambda: "".join(draw.choices(syllables, k=draw.randint(2, 6)))
+    prose = lambda: " ".join(word() for _ in range(60)) + "."
+    texts = [f"{prose()} token = {made()} {prose()}" for _ in range(200)]
+    hidden = [made() for _ in range(20)]
+    return texts + [f"{prose()} see {v}. {prose()}" for v in hidden] + [prose() for _ in range(30)], hidden
+
+
+@pytest.mark.parametrize("form", FORMATS)
+def test_hidden_values_of_any_learned_format_are_found(spark, form):
+    texts, hidden = format_corpus(form)
+    docs = cases.docs(spark, texts)
+    found = {r.doc_id: r.found for r in secrets.scan(docs, secrets.fit(docs)).collect()}
+    hit = lambda i, v: any(texts[i][x.start : x.end] == v for x in found[i])
+    assert sum(hit(200 + i, v) for i, v in enumerate(hidden)) >= 18
+    wrong = [texts[i][x.start : x.end] for i in range(220, 250) for x in found[i]]
+    assert len(wrong) <= 2, wrong
+
+
+def test_found_spans_against_brute_force(spark):
+    """Every run is scored, whatever stands in it: the same as trying all runs of each text by hand."""
+    texts, _ = format_corpus("short", seed=12)
+    texts += cases.EDGE_TEXTS[1:]
+    docs = cases.docs(spark, texts)
+    model = secrets.fit(docs)
+    for row in secrets.scan(docs, model).collect():
+        text, want = texts[row.doc_id], []
+        for m in re.finditer("[A-Za-z0-9+/_.=-]+", text):
+            if any(b.start < m.end() and m.start() < b.end for b in row.base):
+                continue
+            inner = m[0].strip(".")
+            tried = [(m.start() + m[0].index(inner), inner), (m.start(), m[0])]
+            good = [(at, at + len(v)) for at, v in tried if len(v) >= 12 and model.worth(v) >= 0]
+            want += good[:1]
+        assert [(x.start, x.end) for x in row.found] == want
+
+
 def test_sample_bound_and_empty_table(spark):
     docs = cases.docs(spark, [f"secret={i:016d}zz" for i in range(50)] * 2)
-    kept = secrets.credentials(docs, sample=10)
+    kept = secrets.samples(docs, sample=10)
     assert len(kept["assign"]) == 10 and len(set(kept["assign"])) == 10
-    assert secrets.fit(cases.empty_docs(spark)) == {}
-    assert secrets.scan(cases.empty_docs(spark), {}).collect() == []
+    model = secrets.fit(cases.empty_docs(spark))
+    assert model.automata == {}
+    assert secrets.scan(cases.empty_docs(spark), model).collect() == []
