@@ -8,12 +8,15 @@ scored by matrix products.
 
 Landmarks and training rows are bounded samples of the labelled rows given: per
 language the rows with the smallest hash of id and text, at most ``LANDMARKS`` and
-``TRAINING`` of them.  The model's size depends on these alone; every row is
-scored where it lies, without a shuffle.
-
-A null text, or one without a letter, is ``und`` with score 0; with nothing to
-learn from, so is every text.  Repeated rows are scored each for itself; other
-columns are ignored.
+``TRAINING`` of them, landmarks of at most ``LANDMARK_BYTES`` each and ``ALL_LANDMARKS``
+together.  The landmarks' n-grams are kept as posting lists (for each n-gram the
+landmarks that hold it), so the model's size is that of those texts; it is checked
+before it is broadcast.  Every row is scored where it lies, without a shuffle.
+
+Defined cases: a null text, or one without a letter, is ``und`` with score 0; with
+nothing to learn from, so is every text.  A text of any length is scored whole.  Of
+languages with equal scores the first in order counts.  Repeated rows are scored each
+for itself.  Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -29,7 +32,13 @@ from pyspark.sql import functions as F
 from strata.llm.common import or_empty, slices, smallest
 
 LANDMARKS = 24
+ALL_LANDMARKS = 240
+LANDMARK_BYTES = 1 << 15
 TRAINING = 400
+# What a broadcast model may hold; a larger one is built again of fewer landmarks.
+MODEL_BYTES = 256 << 20
+# Postings that one product takes at a time.
+PRODUCT = 4_000_000
 LONGEST = 3
 RIDGE = 1e-3
 NO_LANGUAGE = "und"
@@ -51,29 +60,59 @@ def grams(text: str) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Space:
-    """The landmarks' n-grams as columns, and how many of all their n-grams each holds."""
+    """The landmarks' n-grams in order, which landmarks hold each, and how many each landmark holds."""
 
     codes: np.ndarray
-    holds: np.ndarray  # n-grams x landmarks, 0 or 1
+    begins: np.ndarray  # where each n-gram's postings begin, and the end of the last
+    postings: np.ndarray
     sizes: np.ndarray
 
     @classmethod
     def of(cls, landmarks: list[np.ndarray]) -> Space:
-        codes = np.unique(np.concatenate(landmarks))
-        holds = np.zeros((len(codes), len(landmarks)), dtype=np.float32)
-        for i, own in enumerate(landmarks):
-            holds[np.searchsorted(codes, own), i] = 1
-        return cls(codes, holds, np.array([len(x) for x in landmarks], dtype=np.float64))
+        flat = np.concatenate(landmarks)
+        owner = np.repeat(np.arange(len(landmarks), dtype=np.int32), [len(x) for x in landmarks])
+        order = np.argsort(flat, kind="stable")
+        codes, begins = np.unique(flat[order], return_index=True)
+        return cls(codes, np.append(begins, len(flat)), owner[order], np.array([len(x) for x in landmarks], dtype=np.float64))
+
+    @property
+    def size_bytes(self) -> int:
+        return sum(x.nbytes for x in (self.codes, self.begins, self.postings, self.sizes))
+
+    def shared(self, texts: list[np.ndarray]) -> np.ndarray:
+        """How many n-grams each text (rows) shares with each landmark (columns): the product of
+        the two sparse presence matrices, so many postings at a time."""
+        width = len(self.sizes)
+        out = np.zeros(len(texts) * width)
+        waiting, total = [], 0
+
+        def multiply() -> None:
+            at, rows = np.concatenate([w[0] for w in waiting]), np.concatenate([w[1] for w in waiting])
+            first, many = self.begins[at], self.begins[at + 1] - self.begins[at]
+            step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            columns = self.postings[np.repeat(first, many) + step]
+            np.add(out, np.bincount(np.repeat(rows, many) * width + columns, minlength=len(out)), out=out)
 
-    def kernel(self, texts: list[np.ndarray]) -> np.ndarray:
-        """Kernel values of texts (rows) and landmarks (columns), by one matrix product."""
-        rows = np.zeros((len(texts), len(self.codes)), dtype=np.float32)
         for i, own in enumerate(texts):
-            at = np.searchsorted(self.codes, own)
-            at[at == len(self.codes)] = 0
-            rows[i, at[self.codes[at] == own]] = 1
+            # A long text's n-grams are taken in parts.
+            for part in np.array_split(own, max(1, len(own) * width // PRODUCT)):
+                at = np.searchsorted(self.codes, part)
+                at[at == len(self.codes)] = 0
+                at = at[self.codes[at] == part]
+                postings = int((self.begins[at + 1] - self.begins[at]).sum())
+                if waiting and total + postings > PRODUCT:
+                    multiply()
+                    waiting, total = [], 0
+                waiting.append((at, np.full(len(at), i)))
+                total += postings
+        if waiting:
+            multiply()
+        return out.reshape(len(texts), width)
+
+    def kernel(self, texts: list[np.ndarray]) -> np.ndarray:
+        """Kernel values of texts (rows) and landmarks (columns)."""
         sizes = np.array([max(len(x), 1) for x in texts], dtype=np.float64)
-        return (rows @ self.holds) / np.sqrt(np.outer(sizes, self.sizes))
+        return self.shared(texts) / np.sqrt(np.outer(sizes, self.sizes))
 
 
 @dataclass(frozen=True)
@@ -121,11 +160,23 @@ def fit(labelled: DataFrame, landmarks: int = LANDMARKS, training: int = TRAININ
     """
     rows = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     rows = rows.select("text", "lang", F.xxhash64("doc_id", "text").alias("h"))
-    hashes = _sample_hashes(rows, max(landmarks, training))
+    hashes = _sample_hashes(rows, training)
     if not hashes:
         return None
-    chosen = _with_grams(_up_to(rows, hashes, landmarks)).collect()
-    space = Space.of([np.array(r.codes, dtype=np.int64) for r in chosen])
+    short = rows.where(F.octet_length("text") <= LANDMARK_BYTES)
+    # Where every text is longer, the longer ones serve as landmarks, and the check decides.
+    marks, among = _sample_hashes(short, landmarks), short
+    if not marks:
+        marks, among = _sample_hashes(rows, landmarks), rows
+    each = max(1, min(landmarks, ALL_LANDMARKS // len(marks)))
+    while True:
+        codes = [np.array(r.codes, dtype=np.int64) for r in _with_grams(_up_to(among, marks, each)).collect()]
+        space = Space.of(codes)
+        if space.size_bytes <= MODEL_BYTES:
+            break
+        if each == 1:
+            raise ValueError(f"landmarks of {space.size_bytes} bytes are too large to broadcast")
+        each //= 2
     shared = labelled.sparkSession.sparkContext.broadcast(space)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,7 +191,7 @@ def fit(labelled: DataFrame, landmarks: int = LANDMARKS, training: int = TRAININ
     sample = _with_grams(_up_to(rows, hashes, training)).mapInArrow(run, "lang string, k array<double>").collect()
     names = sorted({r.lang for r in sample})
     kernel = np.array([r.k for r in sample])
-    mutual = space.holds.T @ space.holds / np.sqrt(np.outer(space.sizes, space.sizes))
+    mutual = space.kernel(codes)
     values, vectors = np.linalg.eigh(mutual.astype(np.float64))
     sound = values > 1e-6 * values.max()
     mapping = vectors[:, sound] / np.sqrt(values[sound])
