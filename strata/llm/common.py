@@ -48,6 +48,15 @@ def or_empty(column: str) -> Column:
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))
 
 
+def numbered(docs: DataFrame, *names: str) -> tuple[DataFrame, list[str | None]]:
+    """``docs`` with columns named by place, so that no name can clash, and the new names of ``names``.
+
+    A name that is not there has none.  ``toDF(*docs.columns)`` undoes it.
+    """
+    places = {name: f"c{i}" for i, name in enumerate(docs.columns)}
+    return docs.toDF(*places.values()), [places.get(name) for name in names]
+
+
 def slices(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
     """The batches cut so that the texts of each stay within SLICE_CHARS."""
     for batch in batches:

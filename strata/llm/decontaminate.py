@@ -104,6 +104,11 @@ class Pattern:
         return placed
 
 
+def _apart(text: str, at: int) -> bool:
+    """Whether no word goes on over this place."""
+    return not (0 < at < len(text) and text[at - 1].isalnum() and text[at].isalnum())
+
+
 class Matcher:
     def __init__(self, items: list[tuple]):
         """``items``: (id, normalised text)."""
@@ -145,7 +150,9 @@ class Matcher:
 
     def _within(self, n: int, text: str, low: int, high: int) -> list[tuple[int, int, int, int]]:
         low = max(0, low)
-        return [(n, low + s, low + e, d) for s, e, d in self.patterns[n].search(text[low:high])]
+        found = [(n, low + s, low + e, d) for s, e, d in self.patterns[n].search(text[low:high])]
+        # A short item that takes no error must stand as words: "yes" is not in "yesterday".
+        return found if self.patterns[n].budget else [f for f in found if _apart(text, f[1]) and _apart(text, f[2])]
 
 
 @lru_cache(maxsize=2)

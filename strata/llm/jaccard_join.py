@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import or_empty, slices, stage
+from strata.llm.common import numbered, or_empty, slices, stage
 
 N = 5
 SIMILARITY = 0.8
@@ -128,6 +128,10 @@ def band_hashes(grams: np.ndarray, seeds: np.ndarray, bands: int) -> list[int]:
     return total.view(np.int64).tolist()
 
 
+# A character that is no white space for ``str.split``, by which words are cut.
+A_WORD = r"(?U)[^\s\x1C-\x1F]"
+
+
 def _key(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
@@ -352,9 +356,10 @@ def keep_one(
     chosen = labelled.groupBy("label").agg(F.min(F.struct("first", "key")).alias("one"))
     chosen = chosen.select(F.col("one.key").alias("_key"), F.col("one.first.doc_id").alias("_id"))
     chosen = stage(chosen, "chosen")
-    own = docs.withColumn("_own", _key(or_empty(text))).withColumn("_blank", ~or_empty(text).rlike(r"(?U)\S"))
-    same = (F.col("_own") == F.col("_key")) & F.col(f"`{doc_id}`").eqNullSafe(F.col("_id")) & ~F.col("_blank")
+    rows, (own_id, own_text) = numbered(docs, doc_id, text)
+    own = rows.withColumn("_own", _key(or_empty(own_text))).withColumn("_blank", ~or_empty(own_text).rlike(A_WORD))
+    same = (F.col("_own") == F.col("_key")) & F.col(own_id).eqNullSafe(F.col("_id")) & ~F.col("_blank")
     kept = own.where(~F.col("_blank")).join(chosen, same).drop("_blank", "_key", "_id")
     # Rows repeated in full share id and text.
-    kept = kept.dropDuplicates([doc_id, "_own"]).drop("_own")
-    return kept.unionByName(own.where("_blank").drop("_own", "_blank")).select(*[f"`{c}`" for c in docs.columns])
+    kept = kept.dropDuplicates([own_id, "_own"]).drop("_own")
+    return kept.unionByName(own.where("_blank").drop("_own", "_blank")).toDF(*docs.columns)

@@ -29,7 +29,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import or_empty, stage
+from strata.llm.common import numbered, or_empty, stage
 
 SPACE = r"[\x20\x09-\x0D]+"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
@@ -279,6 +279,7 @@ def keep_good(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> Da
     """
     model = fit(stage(features(docs, docs.columns[0], text), "counts"))
     # The counts pass a generator, else the filter would be pushed below them with every count written out.
-    counted = with_counts(docs, text).withColumn("_once", F.explode(F.array("_counts")))
+    rows, (own_text,) = numbered(docs, text)
+    counted = with_counts(rows, own_text).withColumn("_once", F.explode(F.array("_counts")))
     _, kept = verdict(model, lambda name: F.col(f"_once.{name}"), threshold)
-    return counted.where(kept).select(*[f"`{c}`" for c in docs.columns])
+    return counted.where(kept).select(*rows.columns).toDF(*docs.columns)

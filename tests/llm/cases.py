@@ -36,6 +36,7 @@ def edge_docs(spark):
     rows += [(3, "a", "en", None, None), (None, "no id", "en", "s", 5), (None, None, None, None, None)]
     df = spark.createDataFrame(rows, SCHEMA)
     names = ["ids", "words", "low", "bands", "block", "start", "_counts", "key", "label", "item_id", "spans", "decoded", "n", "by"]
+    names += ["_own", "_key", "_id", "_blank", "_extra", "_digest", "_words", "_lines", "_windows", "_sorted", "_once", "c0", "c1", "row"]
     return df.selectExpr("*", *[f"'clash' as `{n}`" for n in names])
 
 

@@ -141,3 +141,10 @@ def test_components(spark):
     nodes = spark.createDataFrame([(n,) for n in names[:31] + [names[35], names[39]]], "key binary")
     got = {bytes(r.key): bytes(r.label) for r in jj.components(nodes, edges).collect()}
     assert all(got[n] == names[0] for n in names[:30]) and {got[names[i]] for i in (30, 35, 39)} == {names[30]}
+
+
+def test_rows_of_separators_only_all_stay(spark):
+    """Characters that Python takes for white space and Java does not."""
+    prepare(spark)
+    texts = ["\x1c\x1d", "\x1e", "\x1f \x85", "\u3000", "a b c d e f", "a b c d e f"]
+    assert sorted(r.doc_id for r in jaccard_join.keep_one(cases.docs(spark, texts)).collect()) == [0, 1, 2, 3, 4]

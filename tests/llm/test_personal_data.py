@@ -67,6 +67,112 @@ def test_unseen_identifiers_are_found_by_context(spark):
     assert all(rows[i].extra is None for i in rows if i not in (12, 13, 14))
 
 
+def slots():
+    """Seeds in one slot, unseen forms in the same slot, and some of those in another one."""
+    seeds = [f"please ring us: +33 6 {i:02d} 34 56 78 today" for i in range(30)]
+    forms = ["06 12 34 56 78", "12-34-56", "(555) 123 4567", "06555000"] + [f"0655500{i}" for i in range(1, 8)]
+    same = [f"please ring us: {x} today" for x in forms]
+    other = [f"you may call my cell 0655500{i} tonight" for i in range(8)]
+    second = ["you may call my cell 07999123 tonight", "or so: 07999123 (work)"]
+    clean = ["the year 1984 was cold", "rooms 12 and 3017, 1200 sold", "in 1984 5 of 77 came"]
+    return seeds, same, forms, other, second, clean
+
+
+def found_texts(spark, texts, rounds=pii.ROUNDS):
+    rows = pii.found_spans(pii.occurrences(cases.docs(spark, texts)), rounds).collect()
+    return {r.doc_id: [texts[r.doc_id][x.start : x.end] for x in r.extra or []] for r in rows}
+
+
+def test_any_form_in_a_trusted_slot_is_found(spark):
+    prepare(spark)
+    seeds, same, forms, *_, clean = slots()
+    found = found_texts(spark, seeds + same + clean)
+    for i, form in enumerate(forms):
+        assert found[len(seeds) + i] == [form]
+    assert all(found[i] == [] for i in found if not len(seeds) <= i < len(seeds) + len(same))
+
+
+def test_trusted_identifiers_count_everywhere_and_induce_patterns(spark):
+    prepare(spark)
+    seeds, same, _, other, second, clean = slots()
+    texts = seeds + same + other + second + clean
+    found = found_texts(spark, texts)
+    start = len(seeds) + len(same)
+    assert [found[start + i] for i in range(8)] == [[f"0655500{i}"] for i in range(8)]
+    # Of the second generation: only the pattern that the first one induced knows it.
+    assert found[start + 8] == ["07999123"] == found[start + 9]
+    assert found_texts(spark, texts, rounds=1)[start + 8] == []
+    assert all(found[i] == [] for i in range(start + 10, len(texts)))
+    out = {r.doc_id: r.text for r in pii.redact(cases.docs(spark, texts)).collect()}
+    assert out[start] == "you may call my cell [PHONE] tonight" and out[start + 9] == "or so: [PHONE] (work)"
+
+
+def brute_found(texts):
+    """The same bootstrap over dictionaries."""
+    per_text = []
+    for t in texts:
+        base = pii.base_spans(t)
+        per_text.append([(k, s, e, t[s:e].lower(), pii.patterns_of(t, s, e)) for k, s, e in [*base, *[(None, *o) for o in pii.other_tokens(t, base)]]])
+    kind_of = {}
+    for k, _, _, instance, patterns in (o for found in per_text for o in found):
+        for p in patterns:
+            before = kind_of.get((p, instance))
+            kind_of[p, instance] = min(x for x in (before, k) if x) if before or k else None
+    seeds = {(i, k) for (_, i), k in kind_of.items() if k}
+    seeded = {i for i, _ in seeds}
+    members = {}
+    for p, i in kind_of:
+        members.setdefault(p, set()).add(i)
+    trust, known = dict.fromkeys(seeds, 1.0), -1
+    for _ in range(pii.ROUNDS):
+        worth = {}
+        for p, inside in members.items():
+            for kind in pii.KINDS:
+                own = [trust[i, kind] for i in inside if (i, kind) in trust]
+                if sum(x >= pii.TRUSTED for x in own) >= pii.SEEDS and sum(own) / len(inside) >= pii.WORTH:
+                    worth[p, kind] = sum(own) / len(inside)
+        left = {}
+        for (p, kind), w in worth.items():
+            for i in members[p] - seeded:
+                left[i, kind] = left.get((i, kind), 1.0) * (1 - min(w, 0.999))
+        gained = {x: 1 - v for x, v in left.items()}
+        trust = dict.fromkeys(seeds, 1.0) | gained
+        sure = {x for x, v in gained.items() if v >= pii.TRUSTED}
+        if len(sure) <= known:
+            break
+        known = len(sure)
+    out = []
+    for found in per_text:
+        spans = {}
+        for k, s, e, instance, patterns in found:
+            for kind in pii.KINDS:
+                if k is None and (instance, kind) in sure:
+                    if len(pii.digits_of(instance)) >= pii.ANYWHERE or any((p, kind) in worth for p in patterns):
+                        spans[s, e] = min(spans.get((s, e), kind), kind)
+        kept = [(s, e, k) for (s, e), k in sorted(spans.items()) if not any((a, b) != (s, e) and a <= s and e <= b for a, b in spans)]
+        out.append(kept)
+    return out
+
+
+@pytest.mark.parametrize("source", ["slots", "drawn", "driver"])
+def test_found_spans_against_brute_force(spark, source):
+    prepare(spark)
+    if source == "slots":
+        texts = [t for part in slots()[:2] + slots()[3:] for t in part]
+    elif source == "drawn":
+        draw = random.Random(8)
+        number = lambda: draw.choice(["+1 (555) 010-%04d"] * 8 + ["555-%04d", "06 12 %04d", "(0)%04d", "%d", "a%d@b.co"]) % draw.randint(1, 400)
+        slot = ["ring us: {} today", "cell {} or", "in {} of {}", "mail {}, {}"]
+        texts = [" ".join(draw.choice(slot).format(number(), number()) for _ in range(draw.randint(1, 3))) for _ in range(300)]
+    else:
+        texts = [r.text for r in cases.driver_docs(spark).orderBy("doc_id").collect()]
+    rows = pii.found_spans(pii.occurrences(cases.docs(spark, texts))).collect()
+    got = {r.doc_id: [(x.start, x.end, x.kind) for x in r.extra or []] for r in rows}
+    want = brute_found(texts)
+    assert source == "driver" or any(want)
+    assert [got[i] for i in range(len(texts))] == want
+
+
 def test_redact(spark):
     prepare(spark)
     docs = cases.docs(spark, [*corpus(), None, "mail a@b.co now"])
