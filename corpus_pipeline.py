@@ -2,6 +2,13 @@
 
 Each stage works on all rows its predecessor kept; its result is written to the
 shared folder and read back as the next stage's documents.
+
+Defined cases, in every stage: a null text counts as empty and stays null; such rows,
+and empty ones, fail the first stage's base test.  Rows repeated in full count as
+copies of each other, of which one stays.  A null id is an id of its own.  Texts of any
+length are read whole.  Columns beyond those of ``documents``, whatever their names, pass
+through all stages but the last, which returns digests alone.  Of an empty table nothing
+is left; an empty benchmark removes nothing.
 """
 
 from __future__ import annotations
