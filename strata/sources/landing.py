@@ -22,7 +22,6 @@ from pyspark.sql.types import DataType, StringType, StructField, StructType, Var
 from strata.functions import columns as C
 from strata.schemas import (
     CORRUPT,
-    METADATA,
     QUARANTINE,
     RAW_STATISTICS,
     REFERENCE_DOCUMENT,
@@ -31,6 +30,7 @@ from strata.schemas import (
 
 Paths = str | Sequence[str]
 
+
 def iso_now(now: datetime | None = None) -> str:
     now = now or datetime.now(timezone.utc)
     return now.astimezone(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f+00:00")
@@ -115,7 +115,7 @@ def mended(docs: DataFrame) -> DataFrame:
     item = docs.schema["items"].dataType.elementType
     read = F.transform(F.filter("_listed", _is_object), lambda v: _from_variant(v, item))
     meta = F.try_variant_get(_reparsed(), "$._pipeline_metadata", "variant")
-    meta = F.when(_is_object(meta), _from_variant(meta, METADATA))
+    meta = F.when(_is_object(meta), _from_variant(meta, docs.schema["_pipeline_metadata"].dataType))
     # A text that is no JSON at all may have been cut off anywhere, so nothing of it is taken.
     partly = F.when(F.col(CORRUPT).isNull() | _reparsed().isNotNull(), F.col("items"))
     return (
@@ -142,7 +142,7 @@ def quarantine(docs: DataFrame) -> DataFrame:
         return F.when(fields != "", record(error, F.to_json(value)))
 
     meta = F.try_variant_get(_reparsed(), "$._pipeline_metadata", "variant")
-    fields = F.array_join(_lost(meta, METADATA), ", ")
+    fields = F.array_join(_lost(meta, docs.schema["_pipeline_metadata"].dataType), ", ")
     of_meta = F.when(
         meta.isNotNull() & ~F.is_variant_null(meta) & (fields != ""),
         record(F.concat(F.lit("_pipeline_metadata: "), fields), F.to_json(meta)),
