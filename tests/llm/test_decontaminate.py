@@ -94,6 +94,6 @@ def test_edges_and_drop(spark):
 def test_short_items_stand_as_words(spark):
     texts = ["I said yesterday", "the eyes have it", "Yes, it is", "oh yes", "yes", "42nd", "no 42!"]
     items = spark.createDataFrame([(1, "yes"), (2, "42")], "item_id bigint, text string")
-    kept = {r.doc_id for r in decontaminate.drop(cases.docs(spark, texts), items).collect()}
+    kept = {r.doc_id for r in dec.drop(cases.docs(spark, texts), items).collect()}
     assert kept == {0, 1, 5}
-    assert {(r.doc_id, r.item_id) for r in decontaminate.find(cases.docs(spark, texts), items).collect()} == {(2, 1), (3, 1), (4, 1), (6, 2)}
+    assert {(r.doc_id, r.item_id) for r in dec.find(cases.docs(spark, texts), items).collect()} == {(2, 1), (3, 1), (4, 1), (6, 2)}

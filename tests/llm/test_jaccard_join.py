@@ -147,4 +147,4 @@ def test_rows_of_separators_only_all_stay(spark):
     """Characters that Python takes for white space and Java does not."""
     prepare(spark)
     texts = ["\x1c\x1d", "\x1e", "\x1f \x85", "\u3000", "a b c d e f", "a b c d e f"]
-    assert sorted(r.doc_id for r in jaccard_join.keep_one(cases.docs(spark, texts)).collect()) == [0, 1, 2, 3, 4]
+    assert sorted(r.doc_id for r in jj.keep_one(cases.docs(spark, texts)).collect()) == [0, 1, 2, 3, 4]
