@@ -495,11 +495,14 @@ def land_snapshots(df: DataFrame, path: str, now: datetime) -> None:
     Each line carries the whole metadata struct; its ``video_count`` is the
     region's item count, joined from a per-region aggregate.  Items without a
     region land under ``unknown``.
+
+    The counts, a row per region folder, are broadcast whatever Spark takes their
+    size to be: a shuffle by region would bring each region's items into one task.
     """
     region = F.coalesce(F.nullif(C.clean_region(F.col("region")), F.lit("")), F.lit("unknown"))
     items = df.select(region.alias("region"), "item")
     counts = items.groupBy("region").agg(F.count(F.lit(1)).alias("n"))
-    docs = items.join(counts, "region").select(
+    docs = items.join(F.broadcast(counts), "region").select(
         "region",
         F.array("item").alias("items"),
         _metadata(now, F.col("n")).alias("_pipeline_metadata"),

@@ -211,3 +211,24 @@ def test_land_regions_isolates_failures(spark, tmp_path):
     }
     assert (tmp_path / "stats/region=us/date=2024-03-01/hour=05").is_dir()
     assert as_set(landing.read_reference(spark, ref, RUN, multi_line=False), "region") == {("us",)}
+
+
+def test_landing_leaves_a_region_spread_over_tasks(spark, tmp_path, monkeypatch):
+    region = F.when(F.col("id") % 10 != 0, " US ").alias("region")
+    item = F.struct(F.col("id").cast("string").alias("id"), F.struct(F.lit("t").alias("title")).alias("snippet"))
+    items = spark.range(0, 800, 1, 8).select(region, item.alias("item"))
+    written, write = [], landing._write_documents
+    monkeypatch.setattr(landing, "_write_documents", lambda docs, *more: [written.append(docs), write(docs, *more)])
+    # As with tables too large to be broadcast by their size.
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        landing.land_snapshots(items, str(tmp_path), NOW)
+        tasks = written[0].groupBy("region", F.spark_partition_id().alias("task")).count()
+        assert as_set(tasks, "region", "count") == {("us", 90), ("unknown", 10)} and tasks.count() == 16
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+    docs = landing.read_documents(spark, str(tmp_path), SNAPSHOT_DOCUMENT, multi_line=False)
+    got = docs.groupBy("_pipeline_metadata.region", "_pipeline_metadata.video_count").count()
+    assert as_set(got, "region", "video_count", "count") == {("us", 720, 720), ("unknown", 80, 80)}
+    assert docs.select(F.explode("items.id")).distinct().count() == 800
